@@ -60,3 +60,14 @@ def log1p_columns(df: DataFrame, columns: Iterable[str], suffix: str = "_log1p")
 def numeric_columns(df: DataFrame) -> list[str]:
     """Numeric columns in schema order (booleans are not numeric)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+
+
+def round6(c: Column | str) -> Column:
+    """floor(x * 1e6 + 0.5 + 1e-6) / 1e6 -- plain IEEE steps, so any engine
+    that computed the same double prints the same rounded value (the oracle
+    SQL spells out the identical expression).  The tie point sits 1e-12
+    below the decimal half: rational inputs (integer measures) often land
+    exactly on a half, where two correct engines may differ by one ulp.
+    NaN and +/-inf pass through."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(F.abs(x) < 1e12, F.floor(x * 1e6 + 0.500001) / 1e6).otherwise(x)

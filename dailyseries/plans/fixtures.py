@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dailyseries.functions.scalar import round6
 from dailyseries.sources.tables import read_table
 
 
@@ -58,7 +59,7 @@ def daily_weather(spark: SparkSession, sf_dir: str, n_series: int | None = 10,
     )
     # measures are rounded to 6 decimals at the source (like real station
     # data with finite decimals), so every engine sees identical inputs
-    return out.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c)
+    return out.select(*[round6(c).alias(c) if t == "double" else F.col(c)
                         for c, t in out.dtypes])
 
 

@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 
-def r(expr: str, digits: int = 6) -> str:
-    """Round a computed double the same way the Spark side does."""
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+def r(expr: str) -> str:
+    """Round a computed double exactly as ``functions.scalar.round6`` does."""
+    e = f"CAST({expr} AS DOUBLE)"
+    return f"(CASE WHEN abs({e}) < 1e12 THEN floor({e} * 1e6 + 0.500001) / 1e6 ELSE {e} END)"
 
 
 def daily_weather_sql(n_series: int | None = 10, nulls: bool = False) -> str:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dailyseries.functions.scalar import round6
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -33,6 +35,6 @@ def query(name: str, sql: str | None = None, rounded: bool = True):
     return deco
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c)
+def round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[round6(c).alias(c) if t in ("double", "float") else F.col(c)
                        for c, t in df.dtypes])
