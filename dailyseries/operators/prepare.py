@@ -34,14 +34,34 @@ def _check_fit(params: dict, on_empty: str, what: str) -> dict:
     return params
 
 
+def column_stats(df: DataFrame, columns: Sequence[str], stats: Sequence[str]) -> dict[str, dict]:
+    """Per-column statistics in ONE job over a long (column, value) frame.
+
+    Unpivoting keeps the aggregate to a handful of functions grouped by
+    column name (map-side combined: the shuffle carries one row per column
+    per task), however many feature columns there are.  ``stats`` from
+    mean, count, rows, var_pop, min, max.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    fns = {"mean": F.avg("value"), "count": F.count("value"), "rows": F.count(F.lit(1)),
+           "var_pop": F.var_pop("value"), "min": F.min("value"), "max": F.max("value")}
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    got = {r["column"]: r.asDict() for r in
+           long.groupBy("column").agg(*[fns[s].alias(s) for s in stats]).collect()}  # one row per column
+    empty = {s: None for s in stats}
+    return {c: got.get(c, empty) for c in columns}
+
+
 def fit_impute(df: DataFrame, columns: Sequence[str], strategy: str = "mean",
                split_col: str | None = "split", on_empty: str = "error") -> dict:
     """R1 fit: mean / median / most_frequent (ties -> smallest) per column."""
     tr = _train(df, split_col)
     columns = list(columns)
     if strategy == "mean":
-        row = tr.agg(*[F.avg(c).alias(c) for c in columns]).first()
-        params = {c: row[c] for c in columns}
+        st = column_stats(tr, columns, ["mean"])
+        params = {c: st[c]["mean"] for c in columns}
     elif strategy == "median":
         params = _long_quantile(tr, columns, 0.5)
     elif strategy == "most_frequent":
@@ -92,19 +112,17 @@ def fit_scale(df: DataFrame, columns: Sequence[str], method: str = "standard",
     """R2/R3 fit: (center, divisor) per column; divisor 1 when the spread is 0."""
     if method not in ("standard", "minmax"):
         raise ValueError("Method must be 'standard' or 'minmax'")
-    tr = _train(df, split_col)
-    aggs = []
+    stats = ["mean", "var_pop"] if method == "standard" else ["min", "max"]
+    st = column_stats(_train(df, split_col), columns, stats)
+    out = {}
     for c in columns:
         if method == "standard":
-            aggs += [F.avg(c).alias(f"a_{c}"), F.stddev_pop(c).alias(f"b_{c}")]
+            a, v = st[c]["mean"], st[c]["var_pop"]
+            b = v ** 0.5 if v is not None else None
         else:
-            aggs += [F.min(c).cast("double").alias(f"a_{c}"),
-                     (F.max(c) - F.min(c)).cast("double").alias(f"b_{c}")]
-    row = tr.agg(*aggs).first()
-    out = {}
-    for c in columns:
-        a, b = row[f"a_{c}"], row[f"b_{c}"]
-        out[c] = (a, 1.0 if (b is None or b == 0) else b)
+            a, hi = st[c]["min"], st[c]["max"]
+            b = hi - a if a is not None else None
+        out[c] = (a, 1.0 if not b else b)
     return out
 
 
@@ -122,6 +140,32 @@ def scale(df: DataFrame, columns: Sequence[str] | None = None, method: str = "st
     return apply_scale(df, fit_scale(df, columns, method, split_col))
 
 
+def fit_impute_scale(df: DataFrame, columns: Sequence[str], method: str = "standard",
+                     split_col: str | None = "split", on_empty: str = "error") -> tuple[dict, dict]:
+    """Mean imputation followed by scaling, fitted in ONE job.
+
+    Filling with the mean keeps the mean, min and max; the population
+    variance over n rows of which k were non-null becomes var_k * k / n.
+    """
+    if method not in ("standard", "minmax"):
+        raise ValueError("Method must be 'standard' or 'minmax'")
+    extra = ["var_pop"] if method == "standard" else ["min", "max"]
+    st = column_stats(_train(df, split_col), columns, ["mean", "count", "rows"] + extra)
+    imp = _check_fit({c: st[c]["mean"] for c in columns}, on_empty, "impute[mean]")
+    sc: dict = {}
+    for c in imp:
+        k, n = st[c]["count"], st[c]["rows"]
+        if method == "standard":
+            v = st[c]["var_pop"]
+            sd = (v * k / n) ** 0.5 if (v is not None and k and n) else None
+            sc[c] = (st[c]["mean"], 1.0 if not sd else sd)
+        else:
+            lo, hi = st[c]["min"], st[c]["max"]
+            rng = (hi - lo) if lo is not None else None
+            sc[c] = (lo, 1.0 if not rng else rng)
+    return imp, sc
+
+
 def _features(df: DataFrame, split_col: str | None) -> list[str]:
     return [c for c in numeric_columns(df) if c != split_col]
 

@@ -1,11 +1,16 @@
 """Chronological splits and validation folds.
 
-Positions come from ``global_row_number`` (distributed, checkpointed) or,
-per series, from ``row_number`` over the series window.  Sizes follow the
-reference exactly: ``int(n * ratio)`` in float arithmetic (the same IEEE
-multiply, floored, evaluated by Spark next to the data -- no driver round
-trip), sklearn's fold-size rules for k-fold, stratified k-fold and the
-expanding time-series folds.
+A split only needs its cut points.  So the order columns alone (a narrow
+frame) are ranked with ``global_row_number`` (distributed, checkpointed),
+the few rows sitting at the cut positions are fetched, and every row is
+assigned by a lexicographic comparison against them -- a plain predicate
+on the wide frame: no join, no wide checkpoint, no single-task window.
+Per-series splits use ``row_number`` over the series window instead.
+
+Sizes follow the reference exactly: ``int(n * ratio)`` in Python float
+arithmetic, scikit-learn's fold sizes for k-fold, stratified k-fold and
+the expanding time-series folds.  Order columns must be unique per row
+(daily series: (time, series_key)).
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailyseries.operators.windows import KEY, TIME
-from dailyseries.plans.ranking import global_row_number, join_groups
+from dailyseries.plans.ranking import global_row_number
 
 
 def positions(df: DataFrame, order_cols: Sequence[str] = (TIME, KEY), per_series: bool = False,
@@ -24,15 +29,15 @@ def positions(df: DataFrame, order_cols: Sequence[str] = (TIME, KEY), per_series
     """Add 0-based position ``pos`` and the population size ``n``.
 
     ``per_series=True`` positions rows inside their own series (bounded by the
-    series length); otherwise one global order over ``order_cols``.
+    series length); otherwise one global order over ``order_cols`` and ``n``
+    is a literal.
     """
     if per_series:
         w = Window.partitionBy(key).orderBy(time)
         return df.withColumns({pos: F.row_number().over(w) - 1,
                                n: F.count(F.lit(1)).over(Window.partitionBy(key))})
-    ranked = global_row_number(df, list(order_cols), name="_rn")
-    total = ranked.agg(F.count(F.lit(1)).alias(n))
-    return join_groups(ranked, total, []).withColumn(pos, F.col("_rn") - 1).drop("_rn")
+    ranked, total = global_row_number(df, list(order_cols), name="_rn")
+    return ranked.withColumns({pos: F.col("_rn") - 1, n: F.lit(total)}).drop("_rn")
 
 
 def _int_mul(n: Column, ratio: float) -> Column:
@@ -40,57 +45,121 @@ def _int_mul(n: Column, ratio: float) -> Column:
     return F.floor(n.cast("double") * F.lit(float(ratio)))
 
 
+MAX_BOUNDARIES = 256
+
+
+class Cuts:
+    """Rows at given 0-based positions of a total order, for predicates."""
+
+    def __init__(self, df: DataFrame, order_cols: Sequence[str]):
+        self.order_cols = list(order_cols)
+        narrow = df.select(*self.order_cols)
+        self.ranked, self.n = global_row_number(narrow, self.order_cols, name="_rn")
+        self._rows: dict[int, tuple] = {}
+
+    def fetch(self, positions: Sequence[int]) -> None:
+        want = sorted({int(p) + 1 for p in positions if 0 <= p < self.n} - set(self._rows))
+        if len(want) > MAX_BOUNDARIES:
+            raise ValueError(f"too many cut points ({len(want)})")
+        if want:
+            for r in self.ranked.where(F.col("_rn").isin(want)).collect():  # <= MAX_BOUNDARIES rows
+                self._rows[r["_rn"]] = tuple(r[c] for c in self.order_cols)
+
+    def before(self, position: int) -> Column:
+        """Predicate: the row's position is < ``position``."""
+        if position <= 0:
+            return F.lit(False)
+        if position >= self.n:
+            return F.lit(True)
+        self.fetch([position])
+        b = self._rows[position + 1]
+        expr = None
+        for i in reversed(range(len(self.order_cols))):
+            c, v = F.col(self.order_cols[i]), F.lit(b[i])
+            expr = (c < v) if expr is None else (c < v) | ((c == v) & expr)
+        return expr
+
+
+def _assign(bounds: Sequence[tuple[int, object]], default=None) -> Column:
+    """CASE over increasing cut positions: first ``before(pos)`` wins."""
+    e = None
+    for pred, val in bounds:
+        e = F.when(pred, F.lit(val)) if e is None else e.when(pred, F.lit(val))
+    return e.otherwise(F.lit(default)) if e is not None else F.lit(default)
+
+
 def chrono_split(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.15,
                  order_cols: Sequence[str] = (TIME, KEY), per_series: bool = False,
                  split_col: str = "split", key: str = KEY, time: str = TIME) -> DataFrame:
     """L1: first int(n*train_ratio) rows train, next int(n*val_ratio) val, rest test."""
-    p = positions(df, order_cols, per_series, key, time)
-    tr = _int_mul(F.col("_n"), train_ratio)
-    va = tr + _int_mul(F.col("_n"), val_ratio)
-    split = F.when(F.col("_pos") < tr, "train").when(F.col("_pos") < va, "val").otherwise("test")
-    return p.withColumn(split_col, split).drop("_pos", "_n")
+    if per_series:
+        p = positions(df, order_cols, True, key, time)
+        tr = _int_mul(F.col("_n"), train_ratio)
+        va = tr + _int_mul(F.col("_n"), val_ratio)
+        split = F.when(F.col("_pos") < tr, "train").when(F.col("_pos") < va, "val").otherwise("test")
+        return p.withColumn(split_col, split).drop("_pos", "_n")
+    cuts = Cuts(df, order_cols)
+    tr = int(cuts.n * train_ratio)
+    va = tr + int(cuts.n * val_ratio)
+    cuts.fetch([tr, va])
+    return df.withColumn(split_col, _assign([(cuts.before(tr), "train"), (cuts.before(va), "val")], "test"))
+
+
+def _fold_columns(cuts: Cuts, starts: Sequence[int], size_of, df: DataFrame) -> DataFrame:
+    """Test fold k covers [starts[k], starts[k] + size_of(k)); adds fold and train_end."""
+    cuts.fetch([p for k, s0 in enumerate(starts) for p in (s0, s0 + size_of(k))])
+    fold, train_end = [], []
+    first = cuts.before(starts[0]) if starts else F.lit(True)
+    for k, s0 in enumerate(starts):
+        end = cuts.before(s0 + size_of(k))
+        fold.append((end, k))
+        train_end.append((end, s0))
+    f = F.when(first, F.lit(None))
+    t = F.when(first, F.lit(None))
+    for (pred, k), (_, s0) in zip(fold, train_end):
+        f = f.when(pred, F.lit(k))
+        t = t.when(pred, F.lit(s0))
+    return df.withColumns({"fold": f.cast("int"), "train_end": t.cast("long")})
 
 
 def walk_forward_folds(df: DataFrame, initial_train_size: float = 0.6, test_size: float = 0.1,
-                       order_cols: Sequence[str] = (TIME, KEY), per_series: bool = False,
-                       key: str = KEY, time: str = TIME) -> DataFrame:
+                       order_cols: Sequence[str] = (TIME, KEY), key: str = KEY, time: str = TIME) -> DataFrame:
     """L2: test fold index of each row (null if in no test window).
 
     Fold k trains on [0, e_k) and tests on [e_k, e_k + s) with
     e_k = int(n*initial) + k*s, s = int(n*test_size), while e_k + s <= n.
-    Also adds ``train_end`` (= e_k) for test rows.  With s = 0 there is no
-    fold (the reference loops forever there).
+    Adds ``train_end`` (= e_k) on test rows.  s = 0 raises (the reference
+    loops forever there).
     """
-    p = positions(df, order_cols, per_series, key, time)
-    e0, s = _int_mul(F.col("_n"), initial_train_size), _int_mul(F.col("_n"), test_size)
-    k = F.floor((F.col("_pos") - e0) / F.when(s > 0, s))
-    valid = (F.col("_pos") >= e0) & (e0 + (k + 1) * s <= F.col("_n"))
-    fold = F.when(valid, k).cast("int")
-    return p.withColumns({"fold": fold, "train_end": F.when(valid, e0 + k * s).cast("long")}).drop("_pos", "_n")
+    cuts = Cuts(df, order_cols)
+    e0, s = int(cuts.n * initial_train_size), int(cuts.n * test_size)
+    if s <= 0:
+        raise ValueError("test_size gives 0 rows per fold")
+    starts = list(range(e0, cuts.n - s + 1, s))
+    return _fold_columns(cuts, starts, lambda k: s, df)
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, order_cols: Sequence[str] = (TIME, KEY),
-                      per_series: bool = False, key: str = KEY, time: str = TIME) -> DataFrame:
+                      key: str = KEY, time: str = TIME) -> DataFrame:
     """L3: expanding-window folds: test size n // (k+1), tests at the end.
 
     Adds ``fold`` (test fold or null) and ``train_end`` (first test row)."""
-    p = positions(df, order_cols, per_series, key, time)
-    ts = F.floor(F.col("_n") / (n_splits + 1))
-    start0 = F.col("_n") - n_splits * ts
-    k = F.floor((F.col("_pos") - start0) / F.when(ts > 0, ts))
-    valid = (F.col("_pos") >= start0) & (k < n_splits)
-    return p.withColumns({"fold": F.when(valid, k).cast("int"),
-                          "train_end": F.when(valid, start0 + k * ts).cast("long")}).drop("_pos", "_n")
+    cuts = Cuts(df, order_cols)
+    ts = cuts.n // (n_splits + 1)
+    if ts <= 0:
+        raise ValueError(f"cannot make {n_splits} folds of {cuts.n} rows")
+    starts = [cuts.n - n_splits * ts + i * ts for i in range(n_splits)]
+    return _fold_columns(cuts, starts, lambda k: ts, df)
 
 
 def kfold(df: DataFrame, k: int = 3, order_cols: Sequence[str] = (TIME, KEY)) -> DataFrame:
     """Unshuffled contiguous k-fold; the first n % k folds get one extra row."""
-    p = positions(df, order_cols)
-    n, r = F.col("_n"), F.col("_pos")
-    q, rem = F.floor(n / k), n % k
-    big = rem * (q + 1)
-    fold = F.when(r < big, F.floor(r / (q + 1))).otherwise(rem + F.floor((r - big) / F.when(q > 0, q)))
-    return p.withColumn("fold", fold.cast("int")).drop("_pos", "_n")
+    cuts = Cuts(df, order_cols)
+    q, rem = divmod(cuts.n, k)
+    sizes = [q + 1 if i < rem else q for i in range(k)]
+    starts = [sum(sizes[:i]) for i in range(k)]
+    out = _fold_columns(cuts, starts, lambda i: sizes[i], df)
+    return out.drop("train_end")
 
 
 def stratified_folds(df: DataFrame, label: str = "y", k: int = 5, order_key: str = "player_id") -> DataFrame:
@@ -98,23 +167,25 @@ def stratified_folds(df: DataFrame, label: str = "y", k: int = 5, order_key: str
 
     Classes sorted; in the label-sorted array class c spans [a_c, b_c); fold i
     receives #{j in [a_c, b_c): j = i mod k} rows of class c, taken in
-    ``order_key`` order.  Fold sizes differ by at most one per class.
+    ``order_key`` order.
     """
-    ranked = global_row_number(df, [label, order_key], name="_rn")
-    sizes = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)  # one row per class
-    bounds = sizes.select(label, F.coalesce(F.sum("_nc").over(w), F.lit(0)).alias("_a"), "_nc")
-    j = ranked.join(F.broadcast(bounds), label)  # one row per class: a small, bounded table
-    a, b = F.col("_a"), F.col("_a") + F.col("_nc")
-    r = F.col("_rn") - 1 - a
-
-    def cnt(m: Column, i: int) -> Column:  # #{j in [0, m): j mod k == i}
-        return F.greatest(F.lit(0), F.floor((m - i + k - 1) / k))
-
-    cum = None
-    fold = None
-    for i in range(k):
-        alloc = cnt(b, i) - cnt(a, i)
-        cum = alloc if cum is None else cum + alloc
-        fold = F.when(r < cum, F.lit(i)) if fold is None else fold.when(r < cum, F.lit(i))
-    return j.withColumn("fold", fold.cast("int")).select(*df.columns, "fold")
+    cuts = Cuts(df, [label, order_key])
+    sizes = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
+
+    def cnt(m: int, i: int) -> int:  # #{j in [0, m): j mod k == i}
+        return max(0, (m - i + k - 1) // k)
+
+    bounds = []
+    a = 0
+    for cls, nc in sizes:
+        b, cum = a + nc, 0
+        for i in range(k):
+            cum += cnt(b, i) - cnt(a, i)
+            bounds.append((cls, a + cum, i))
+        a = b
+    cuts.fetch([p for _, p, _ in bounds])
+    e = None
+    for cls, pos, i in bounds:
+        cond = (F.col(label) == F.lit(cls)) & cuts.before(pos)
+        e = F.when(cond, F.lit(i)) if e is None else e.when(cond, F.lit(i))
+    return df.withColumn("fold", e.cast("int"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailyseries.plans import q_metrics, q_windows  # noqa: F401
+from dailyseries.plans import q_metrics, q_pipeline, q_windows  # noqa: F401
 from dailyseries.plans.registry import ORACLE, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["rolling_precip"](spark, sf_dir)
+    """The leak-safe regression feature pipeline (one table with split,
+    target and 142 scaled features)."""
+    return QUERIES["pipeline_regression"](spark, sf_dir)
 
 
 __all__ = ["ORACLE", "QUERIES", "flagship"]

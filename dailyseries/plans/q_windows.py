@@ -91,13 +91,13 @@ def q_lag_features(spark, sf):
 
 
 # ------------------------------------------------------------------ W9-W11, F2-F19
-def _rolling_weather_items():
+def _rolling_weather_items(rnd=o.r):
     items = []
     for c in win.ADVANCED_ROLLING_COLUMNS:
         for n in win.ROLLING_WINDOWS:
             fr = rows(n)
-            items += [(f"{c}_{n}d_mean", o.r(f"avg({c}) {fr}")), (f"{c}_{n}d_std", o.r(f"stddev_samp({c}) {fr}")),
-                      (f"{c}_{n}d_max", o.r(f"max({c}) {fr}")), (f"{c}_{n}d_min", o.r(f"min({c}) {fr}"))]
+            items += [(f"{c}_{n}d_mean", rnd(f"avg({c}) {fr}")), (f"{c}_{n}d_std", rnd(f"stddev_samp({c}) {fr}")),
+                      (f"{c}_{n}d_max", rnd(f"max({c}) {fr}")), (f"{c}_{n}d_min", rnd(f"min({c}) {fr}"))]
     return items
 
 
@@ -110,29 +110,29 @@ def _weather_lag_items():
     return items
 
 
-def _derived_items():
+def _derived_items(rnd=o.r):
     msin, mcos = "sin(2 * pi() * month / 12)", "cos(2 * pi() * month / 12)"
     return [
-        ("humidity_proxy", o.r("abs(apparent_temperature_max - temperature_2m_max)")),
-        ("storm_potential", o.r("wind_speed_10m_max * wind_gusts_10m_max / 100")),
-        ("atmospheric_instability", o.r("(temperature_2m_max - temperature_2m_min) * wind_speed_10m_max")),
-        ("month_sin", o.r(msin)), ("month_cos", o.r(mcos)),
-        ("temp_season_interaction", o.r(f"temperature_2m_max * {msin}")),
-        ("wind_season_interaction", o.r(f"wind_speed_10m_max * {mcos}")),
-        ("pressure_proxy", o.r("shortwave_radiation_sum / NULLIF(et0_fao_evapotranspiration + 1, 0)")),
-        ("energy_balance", o.r("shortwave_radiation_sum - et0_fao_evapotranspiration")),
-        ("wind_dir_sin", o.r("sin(2 * pi() * wind_direction_10m_dominant / 360)")),
-        ("wind_dir_cos", o.r("cos(2 * pi() * wind_direction_10m_dominant / 360)")),
+        ("humidity_proxy", rnd("abs(apparent_temperature_max - temperature_2m_max)")),
+        ("storm_potential", rnd("wind_speed_10m_max * wind_gusts_10m_max / 100")),
+        ("atmospheric_instability", rnd("(temperature_2m_max - temperature_2m_min) * wind_speed_10m_max")),
+        ("month_sin", rnd(msin)), ("month_cos", rnd(mcos)),
+        ("temp_season_interaction", rnd(f"temperature_2m_max * {msin}")),
+        ("wind_season_interaction", rnd(f"wind_speed_10m_max * {mcos}")),
+        ("pressure_proxy", rnd("shortwave_radiation_sum / NULLIF(et0_fao_evapotranspiration + 1, 0)")),
+        ("energy_balance", rnd("shortwave_radiation_sum - et0_fao_evapotranspiration")),
+        ("wind_dir_sin", rnd("sin(2 * pi() * wind_direction_10m_dominant / 360)")),
+        ("wind_dir_cos", rnd("cos(2 * pi() * wind_direction_10m_dominant / 360)")),
         ("weather_code_cloudy", "CAST(coalesce(CAST(weather_code >= 2 AS INTEGER), 0) AS INTEGER)"),
         ("weather_code_rainy", "CAST(coalesce(CAST(weather_code >= 61 AS INTEGER), 0) AS INTEGER)"),
     ]
 
 
-def _advanced_items():
-    return ([("temp_range", o.r("temperature_2m_max - temperature_2m_min")),
-             ("apparent_temp_range", o.r("apparent_temperature_max - apparent_temperature_min")),
-             ("temp_anomaly", o.r(f"temperature_2m_max - avg(temperature_2m_max) {rows(30)}"))]
-            + _rolling_weather_items() + _derived_items() + _weather_lag_items())
+def _advanced_items(rnd=o.r):
+    return ([("temp_range", rnd("temperature_2m_max - temperature_2m_min")),
+             ("apparent_temp_range", rnd("apparent_temperature_max - apparent_temperature_min")),
+             ("temp_anomaly", rnd(f"temperature_2m_max - avg(temperature_2m_max) {rows(30)}"))]
+            + _rolling_weather_items(rnd) + _derived_items(rnd) + _weather_lag_items())
 
 
 TEMPORAL_SQL = """SELECT *, CASE WHEN month IN (12, 1, 2) THEN 'Summer' WHEN month IN (3, 4, 5) THEN 'Autumn'

@@ -132,36 +132,42 @@ def quantile_row(df: DataFrame, col: str, probs: Sequence[float], names: Sequenc
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
-    """``row_number() over (order by order_cols)`` without a single-task window.
-
-    Ties in ``order_cols`` get an arbitrary but fixed order; pass a unique
-    key as the last column for a deterministic answer.
+                      partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``row_number() over (order by order_cols)`` without a single-task
+    window.  Returns (ranked frame, row count).
+
+    Range partitioning spreads the rows, each task numbers its own sorted
+    partition, and a per-partition offset (one small count per partition,
+    applied as a literal map) makes the numbers global.  The ranked frame
+    is checkpointed to the shared folder first, so partition contents and
+    positions cannot change between counting and use (retries, lost
+    executors).  Ties in ``order_cols`` get an arbitrary but fixed order;
+    end with a unique key for a deterministic answer.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or default_buckets(df)
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    # reliable checkpoint: ids are fixed before they are counted and used
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
-    sizes = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
-    off = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # the offset table has one row per partition: a proven, small bound
-    out = ranged.withColumn("_pid", pid).join(F.broadcast(off), "_pid")
-    rn = F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1
-    return out.select(*df.columns, rn.alias(name))
+    sizes = sorted((r[0], r[1]) for r in ranged.groupBy(pid).count().collect())  # <= n rows
+    offsets, total = [], 0
+    for p, c in sizes:
+        offsets += [F.lit(p), F.lit(total)]
+        total += c
+    off = F.create_map(*offsets) if offsets else F.create_map().cast("map<bigint,bigint>")
+    rn = F.element_at(off, pid) + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1
+    return ranged.select(*df.columns, rn.alias(name)), total
 
 
 def join_groups(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach per-group results ``b`` (one row per ``by`` group) to ``a``.
 
-    Without group columns ``b`` is a single aggregate row: it is broadcast
-    (a proven one-row bound) and joined on a constant key."""
+    Without group columns ``b`` is a single aggregate row: it becomes one
+    scalar subquery (computed once, used as a constant), not a join."""
     by = list(by)
     if by:
         return a.join(b, by)
-    return (a.withColumn("_g", F.lit(0))
-             .join(F.broadcast(b.withColumn("_g", F.lit(0))), "_g").drop("_g"))
+    s = b.select(F.struct(*b.columns).alias("_s")).scalar()
+    return a.withColumn("_s", s).select(*a.columns, *[F.col(f"_s.{c}").alias(c) for c in b.columns])

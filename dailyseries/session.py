@@ -21,8 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # the feature pipeline projects ~140 columns; keep it inside codegen
-    "spark.sql.codegen.maxFields": "400",
 }
 
 
