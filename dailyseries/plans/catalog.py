@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailyseries.plans import q_metrics, q_pipeline, q_windows  # noqa: F401
+from dailyseries.plans import q_explore, q_metrics, q_pipeline, q_windows  # noqa: F401
 from dailyseries.plans.registry import ORACLE, QUERIES
 
 

@@ -87,6 +87,17 @@ def _pipeline(task: str, leak_safe: bool):
     return run
 
 
+def pipeline_many_sql() -> str:
+    return pipeline_sql("regression", True).replace(o.daily_weather_sql(nulls=True), o.daily_weather_sql(None, nulls=True))
+
+
+@query("pipeline_many_series", pipeline_many_sql())
+def q_pipeline_many_series(spark, sf):
+    """R6 over one series per supplier (many series, leak-safe regression)."""
+    dw = fx.daily_weather(spark, sf, n_series=None, nulls=True)
+    return feature_pipeline(dw, task="regression", leak_safe=True)[0]
+
+
 for _task in ("regression", "classification"):
     for _safe in (True, False):
         _name = f"pipeline_{_task}" + ("" if _safe else "_parity")
