@@ -17,14 +17,20 @@ from dailyseries.sources.tables import read_table
 
 
 def daily_weather(spark: SparkSession, sf_dir: str, n_series: int | None = 10,
-                  nulls: bool = False) -> DataFrame:
+                  nulls: bool = False, start: str | None = None, end: str | None = None) -> DataFrame:
     """B1: daily weather rows keyed by ``series_key`` (= l_suppkey % n_series).
 
     ``n_series=None`` keys by ``l_suppkey`` itself (many series).  With
     ``nulls=True`` the 13th day of each month has a null precipitation,
-    rain and minimum temperature.
+    rain and minimum temperature.  ``start``/``end`` (inclusive dates)
+    restrict the scan: written on the raw timestamp, so the bound is a
+    parquet ``PushedFilter``.
     """
     li = read_table(spark, sf_dir, "lineitem")
+    if start:
+        li = li.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
     key = (F.col("l_suppkey") % n_series) if n_series else F.col("l_suppkey")
     q, d, t = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
     g = li.groupBy(key.alias("series_key"), F.col("l_shipdate").cast("date").alias("time")).agg(
