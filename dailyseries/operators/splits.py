@@ -162,14 +162,16 @@ def kfold(df: DataFrame, k: int = 3, order_cols: Sequence[str] = (TIME, KEY)) ->
     return out.drop("train_end")
 
 
-def stratified_folds(df: DataFrame, label: str = "y", k: int = 5, order_key: str = "player_id") -> DataFrame:
+def stratified_folds(df: DataFrame, label: str = "y", k: int = 5,
+                     order_key: str | Sequence[str] = "player_id") -> DataFrame:
     """L4: unshuffled stratified k-fold with scikit-learn's allocation.
 
     Classes sorted; in the label-sorted array class c spans [a_c, b_c); fold i
     receives #{j in [a_c, b_c): j = i mod k} rows of class c, taken in
     ``order_key`` order.
     """
-    cuts = Cuts(df, [label, order_key])
+    keys = [order_key] if isinstance(order_key, str) else list(order_key)
+    cuts = Cuts(df, [label, *keys])
     sizes = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
 
     def cnt(m: int, i: int) -> int:  # #{j in [0, m): j mod k == i}
