@@ -196,7 +196,7 @@ def fit_one_hot(df: DataFrame, columns: Iterable[str], categories: dict | None =
             num = types[c] in ("int", "bigint", "smallint", "tinyint", "double", "float")
             conv = (lambda s: float(s) if "." in s or "e" in s.lower() else int(s)) if num else str
             fit[c] = sorted(conv(v) for v in vals[c])
-    return fit
+    return {c: fit[c] for c in present}  # encoded in the order given
 
 
 def apply_one_hot(df: DataFrame, fit: dict[str, list]) -> DataFrame:
