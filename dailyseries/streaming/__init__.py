@@ -1,0 +1,4 @@
+"""Nothing here on purpose: the reference has no stream source, watermark,
+event-time window or state, so there is no streaming operator to rebuild.
+Daily payload documents landing in a folder are read in batch by
+``dailyseries.sources.files.ingest_daily_payload``."""
