@@ -401,3 +401,20 @@ def q_coerce_numeric(spark, sf):
                     F.col("p_brand").try_cast("double").alias("brand_num"),
                     F.col("year").cast("string").try_cast("double").alias("year_num"),
                     F.regexp_extract("p_brand", r"(\d+)", 1).try_cast("double").alias("brand_digits"))
+
+
+def _range_sql() -> str:
+    full = _rolling_precip_sql()
+    body = full[full.rindex("SELECT series_key, time,"):]
+    return o.with_ctes(f"SELECT * FROM ({body}) x WHERE time BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'",
+                       daily_weather=DW)
+
+
+@query("features_date_range", _range_sql())
+def q_features_date_range(spark, sf):
+    """Rolling precipitation features for 1996 only, computed on the
+    per-series halo (29 rows back) instead of the whole history."""
+    from dailyseries.plans.halo import window_for_range
+    dw = fx.daily_weather(spark, sf, nulls=True)
+    out = window_for_range(dw, win.rolling_precip_cols, "1996-01-01", "1996-12-31", back=29)
+    return out.select("series_key", "time", *win.rolling_precip_cols(win.series_window()).keys())

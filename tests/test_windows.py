@@ -97,3 +97,29 @@ def test_bucketed_equals_plain_window(spark):
         if c == "time":
             continue
         np.testing.assert_allclose(plain[c].astype(float), buck[c].astype(float), equal_nan=True, err_msg=c)
+
+
+def test_halo_range_equals_full_history(spark):
+    from dailyseries.plans.halo import window_for_range
+    rng = np.random.default_rng(11)
+    rows = []
+    for key in (1, 2, 3):
+        d = dt.date(2000, 1, 1)
+        for i in range(120):
+            rows.append((key, d, None if rng.random() < 0.1 else float(rng.integers(0, 6))))
+            d += dt.timedelta(days=1 + int(rng.integers(0, 3)))  # gaps: rows, not days, count
+    df = spark.createDataFrame(rows, "series_key bigint, time date, precipitation_sum double")
+
+    def build(w):
+        out = win.rolling_precip_cols(w, windows=(3, 14))
+        out["lead3"] = F.lead("precipitation_sum", 3).over(w)
+        return out
+
+    full = (win.series_frame(df, build).where("time BETWEEN DATE '2000-03-01' AND DATE '2000-05-31'")
+            .orderBy("series_key", "time").toPandas())
+    part = (window_for_range(df, build, "2000-03-01", "2000-05-31", back=13, fwd=3)
+            .orderBy("series_key", "time").toPandas())
+    assert len(full) == len(part) > 0
+    for c in full.columns:
+        if c != "time":
+            np.testing.assert_allclose(full[c].astype(float), part[c].astype(float), equal_nan=True, err_msg=c)
