@@ -192,3 +192,37 @@ def q_overfit_gap(spark, sf):
                                       F.max(F.when(F.col("split") == "val", F.col("auc_score"))).alias("val_auc"))
     gap = F.col("train_auc") - F.col("val_auc")
     return piv.select("model_name", "train_auc", "val_auc", gap.alias("gap"), (gap > 0.05).alias("overfit"))
+
+
+def _cv_sql() -> str:
+    from dailyseries.plans.q_pipeline import _strat_sql
+    folds = _strat_sql(5)
+    m = ("SELECT f.y, f.fold, 'price_score' AS model_name, s.p FROM folds f JOIN scored s ON f.player_id = s.player_id "
+         "UNION ALL SELECT f.y, f.fold, 'coarse', floor(s.p * 10) / 10 FROM folds f JOIN scored s ON f.player_id = s.player_id")
+    fa = ("SELECT model_name, fold, sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM ("
+          "SELECT *, coalesce(sum(neg) OVER (PARTITION BY model_name, fold ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING "
+          "AND 1 PRECEDING), 0) AS nb FROM (SELECT model_name, fold, p, CAST(sum(y) AS DOUBLE) AS pos, "
+          "CAST(sum(1 - y) AS DOUBLE) AS neg FROM m GROUP BY 1, 2, 3) c) w GROUP BY 1, 2")
+    base = "(SELECT avg(auc) FROM fa WHERE model_name = 'coarse')"
+    body = (f"SELECT model_name, {R('m')} AS cv_mean, {R('s')} AS cv_std, {R('m - 2 * s')} AS cv_low, "
+            f"{R('m + 2 * s')} AS cv_high, {R(f'(m - {base}) / {base} * 100')} AS improvement_pct "
+            "FROM (SELECT model_name, avg(auc) AS m, stddev_pop(auc) AS s FROM fa GROUP BY 1) z")
+    return o.with_ctes(body, scored=o.SCORED_SQL, folds=folds, m=m, fa=fa)
+
+
+@query("cv_summary", _cv_sql())
+def q_cv_summary(spark, sf):
+    """Per-model AUC over 5 stratified folds in one grouped job; mean +/- 2 std
+    (population) and the improvement over a base model."""
+    s = spl.stratified_folds(fx.scored(spark, sf), "y", 5)
+    long = s.select("y", "fold", F.inline(F.array(
+        F.struct(F.lit("price_score").alias("model_name"), F.col("p").alias("p")),
+        F.struct(F.lit("coarse").alias("model_name"), (F.floor(F.col("p") * 10) / 10).alias("p")))))
+    fa = mt.roc_auc(long, by=["model_name", "fold"])
+    per = fa.groupBy("model_name").agg(F.avg("auc_score").alias("m"), F.stddev_pop("auc_score").alias("s"))
+    base = per.where(F.col("model_name") == "coarse").select(F.col("m").alias("_b"))
+    from dailyseries.plans.ranking import join_groups
+    j = join_groups(per, base, [])
+    return j.select("model_name", F.col("m").alias("cv_mean"), F.col("s").alias("cv_std"),
+                    (F.col("m") - 2 * F.col("s")).alias("cv_low"), (F.col("m") + 2 * F.col("s")).alias("cv_high"),
+                    ((F.col("m") - F.col("_b")) / F.col("_b") * 100).alias("improvement_pct"))

@@ -289,3 +289,18 @@ def q_one_hot(spark, sf):
     dw = feat.temporal_features(fx.daily_weather(spark, sf, nulls=True))
     out = prep.one_hot(dw, ["weather_code", "season", "not_a_column"])
     return out.select("series_key", "time", *[c for c in out.columns if c.startswith(("weather_code_", "season_"))])
+
+
+@query("missing_after_impute", o.with_ctes(
+    "SELECT " + ", ".join(f"count_if({c} IS NULL) AS {c}_before" for c in IMPUTE_COLS) + ", "
+    + ", ".join(f"count_if(coalesce(CAST({c} AS DOUBLE), f_{c}) IS NULL) AS {c}_after" for c in IMPUTE_COLS)
+    + " FROM sp, fit", daily_weather=DW, sp=SPLIT_CTE,
+    fit="SELECT " + ", ".join(f"avg({c}) AS f_{c}" for c in IMPUTE_COLS) + " FROM sp WHERE split = 'train'"))
+def q_missing_after_impute(spark, sf):
+    """Missing cells per column before and after train-mean imputation (one job)."""
+    dw = spl.chrono_split(fx.daily_weather(spark, sf, nulls=True))
+    imp = prep.impute(dw, IMPUTE_COLS, "mean")
+    before = dw.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_before") for c in IMPUTE_COLS])
+    after = imp.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_after") for c in IMPUTE_COLS])
+    from dailyseries.plans.ranking import join_groups
+    return join_groups(before, after, [])
