@@ -90,15 +90,18 @@ def _assign(bounds: Sequence[tuple[int, object]], default=None) -> Column:
 
 def chrono_split(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.15,
                  order_cols: Sequence[str] = (TIME, KEY), per_series: bool = False,
-                 split_col: str = "split", key: str = KEY, time: str = TIME) -> DataFrame:
-    """L1: first int(n*train_ratio) rows train, next int(n*val_ratio) val, rest test."""
+                 split_col: str = "split", key: str = KEY, time: str = TIME,
+                 cuts: "Cuts | None" = None) -> DataFrame:
+    """L1: first int(n*train_ratio) rows train, next int(n*val_ratio) val, rest test.
+
+    ``cuts`` may be a ``Cuts`` already built on the same rows and order."""
     if per_series:
         p = positions(df, order_cols, True, key, time)
         tr = _int_mul(F.col("_n"), train_ratio)
         va = tr + _int_mul(F.col("_n"), val_ratio)
         split = F.when(F.col("_pos") < tr, "train").when(F.col("_pos") < va, "val").otherwise("test")
         return p.withColumn(split_col, split).drop("_pos", "_n")
-    cuts = Cuts(df, order_cols)
+    cuts = cuts or Cuts(df, order_cols)
     tr = int(cuts.n * train_ratio)
     va = tr + int(cuts.n * val_ratio)
     cuts.fetch([tr, va])

@@ -18,6 +18,7 @@ back), and one-hot categories are fitted on training rows only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -31,6 +32,10 @@ from dailyseries.operators import windows as win
 from dailyseries.operators.windows import KEY, TIME
 
 
+# wide feature rows are ~1.2 KB: 50k rows is a ~60 MB cached partition
+ROWS_PER_PARTITION = 50_000
+
+
 def build_features(dw: DataFrame, task: str = "regression", target_name: str | None = None,
                    keep_columns: Sequence[str] | None = None, leak_safe: bool = True,
                    key: str = KEY, time: str = TIME) -> tuple[DataFrame, str]:
@@ -74,16 +79,24 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     frame's source when done.
     """
     df, target = build_features(dw, task, target_name, keep_columns, leak_safe, key, time)
+    # the split's narrow ranking pass (key, time only) also gives the row count
+    cuts = spl.Cuts(df, (time, key))
     if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        # size the cached frame to the data (a cached plan keeps the shuffle's
+        # partition count otherwise, e.g. 200 partitions for a few rows)
+        # (never below the cluster's parallelism: coalesce also sets the
+        # task count of the window stage that feeds the cache)
+        parallel = df.sparkSession.sparkContext.defaultParallelism
+        parts = max(parallel, math.ceil(cuts.n / ROWS_PER_PARTITION))
+        df = df.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
     cats = [c for c in ("weather_code", "season") if c in df.columns]
     if leak_safe:
-        df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time)
+        df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time, cuts=cuts)
         fit = prep.fit_one_hot(df.where(df["split"] == "train"), cats)
         df = prep.apply_one_hot(df, fit)
     else:
         df = prep.one_hot(df, cats)
-        df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time)
+        df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time, cuts=cuts)
     features = [c for c in df.columns if c not in (key, time, target, "split")]
     from dailyseries.functions.scalar import inf_to_null
     df = inf_to_null(df, features)

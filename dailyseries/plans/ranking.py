@@ -146,9 +146,10 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "rn"
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or default_buckets(df)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id()))
+    # without a fixed count AQE may coalesce the range partitions to the data
+    # size; positions are taken after that read, so they stay consistent
+    ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
+    ranged = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     sizes = sorted((r[0], r[1]) for r in ranged.groupBy(pid).count().collect())  # <= n rows
