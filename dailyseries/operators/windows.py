@@ -44,52 +44,68 @@ def full_window(agg: Column, x: Column, w: WindowSpec, n: int) -> Column:
     return F.when(F.count(x).over(w) == n, agg)
 
 
+# a series longer than this is windowed in row buckets under strategy="auto"
+MAX_SERIES_ROWS = 2_000_000
+# rows per bucket in the bucketed strategy (must exceed every frame's reach)
+BUCKET_ROWS = 100_000
+
+
+def choose_strategy(df: DataFrame, key: str = KEY, max_rows: int = MAX_SERIES_ROWS) -> str:
+    """"bucketed" when the largest series exceeds ``max_rows`` rows, else
+    "series" -- one small aggregation (a count per key, map-side combined)."""
+    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return "bucketed" if longest and longest > max_rows else "series"
+
+
 def series_frame(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Column]],
                  key: str = KEY, time: str = TIME, back: int = 0, fwd: int = 0,
-                 strategy: str = "series", bucket_rows: int = 100_000) -> DataFrame:
+                 strategy: str = "series", bucket_rows: int | None = None) -> DataFrame:
     """Add the columns of ``builder(w)``.
 
     ``strategy="series"``: one window partition per series (a daily series
     holds at most one row per day).  ``strategy="bucketed"``: split every
     series into row buckets with ``back``/``fwd`` halo rows copied from the
     neighbours (needed when one series is a large share of all rows).
+    ``strategy="auto"`` picks one with ``choose_strategy``.
     """
+    if strategy == "auto":
+        strategy = choose_strategy(df, key)
     if strategy == "series":
         return df.withColumns(builder(series_window(key, time)))
     if strategy == "bucketed":
         from dailyseries.plans.longseries import bucketed_series_frame
         return bucketed_series_frame(df, builder, key=key, time=time, back=back,
-                                     fwd=fwd, bucket_rows=bucket_rows)
+                                     fwd=fwd, bucket_rows=bucket_rows or BUCKET_ROWS)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
 # --------------------------------------------------------------- W1 / W2
 def regression_target(df: DataFrame, source: str = "precipitation_sum",
                       name: str = "precip_3day_next", horizon: int = 3,
-                      key: str = KEY, time: str = TIME) -> DataFrame:
+                      key: str = KEY, time: str = TIME, strategy: str = "series") -> DataFrame:
     """x[t+1] + ... + x[t+h]; any null among them drops the row.
 
     A sum of ``lead``s, not ``sum().rowsBetween(1, h)``: the windowed sum
     would skip nulls and keep the tail rows.
     """
-    w = series_window(key, time)
-    total = F.lead(source, 1).over(w)
-    for i in range(2, horizon + 1):
-        total = total + F.lead(source, i).over(w)
-    return df.withColumn(name, total).dropna(subset=[name])
+    def build(w):
+        total = F.lead(source, 1).over(w)
+        for i in range(2, horizon + 1):
+            total = total + F.lead(source, i).over(w)
+        return {name: total}
+    return series_frame(df, build, key, time, fwd=horizon, strategy=strategy).dropna(subset=[name])
 
 
 def classification_target(df: DataFrame, source: str = "rain_sum", name: str = "target_rain",
                           threshold: float = 0.1, horizon: int = 7, keep_future: bool = True,
-                          key: str = KEY, time: str = TIME) -> DataFrame:
+                          key: str = KEY, time: str = TIME, strategy: str = "series") -> DataFrame:
     """``rain_in_future`` = x[t+h]; target = x[t+h] > threshold; null future dropped.
 
     ``keep_future=True`` keeps ``rain_in_future`` in the table (reference
     parity; it is a leak when used as a feature).
     """
-    w = series_window(key, time)
-    fut = F.lead(source, horizon).over(w)
-    out = (df.withColumn("rain_in_future", fut)
+    out = (series_frame(df, lambda w: {"rain_in_future": F.lead(source, horizon).over(w)}, key, time,
+                        fwd=horizon, strategy=strategy)
              .withColumn(name, threshold_flag(F.col("rain_in_future"), threshold, ">"))
              .dropna(subset=["rain_in_future"]))
     return out if keep_future else out.drop("rain_in_future")

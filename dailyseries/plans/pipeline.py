@@ -38,15 +38,21 @@ ROWS_PER_PARTITION = 50_000
 
 def build_features(dw: DataFrame, task: str = "regression", target_name: str | None = None,
                    keep_columns: Sequence[str] | None = None, leak_safe: bool = True,
-                   key: str = KEY, time: str = TIME) -> tuple[DataFrame, str]:
-    """Stages up to (not including) one-hot; returns (frame, target name)."""
+                   key: str = KEY, time: str = TIME, strategy: str = "series") -> tuple[DataFrame, str]:
+    """Stages up to (not including) one-hot; returns (frame, target name).
+
+    ``strategy`` as in ``windows.series_frame``; "auto" checks the longest
+    series once and windows very long ones in row buckets."""
     if task not in ("regression", "classification"):
         raise ValueError("task_type must be 'regression' or 'classification'")
+    if strategy == "auto":
+        strategy = win.choose_strategy(dw, key)
     target = target_name or ("precip_3day_next" if task == "regression" else "target_rain")
     if task == "regression":
-        df = win.regression_target(dw, name=target, key=key, time=time)
+        df = win.regression_target(dw, name=target, key=key, time=time, strategy=strategy)
     else:
-        df = win.classification_target(dw, name=target, keep_future=not leak_safe, key=key, time=time)
+        df = win.classification_target(dw, name=target, keep_future=not leak_safe, key=key, time=time,
+                                       strategy=strategy)
     df = feat.temporal_features(df, keep_columns, time=time)
     if key not in df.columns:  # a keep list may drop the key; it is the row identity
         raise ValueError(f"keep_columns must not remove {key!r}")
@@ -62,14 +68,14 @@ def build_features(dw: DataFrame, task: str = "regression", target_name: str | N
         out.update(feat.advanced_cols(w))
         return out
 
-    return win.series_frame(df, stage, key, time, back=29), target
+    return win.series_frame(df, stage, key, time, back=29, strategy=strategy), target
 
 
 def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str | None = None,
                      keep_columns: Sequence[str] | None = None, leak_safe: bool = True,
                      train_ratio: float = 0.7, val_ratio: float = 0.15, impute_strategy: str = "mean",
                      scale_method: str = "standard", key: str = KEY, time: str = TIME,
-                     persist: bool = True) -> tuple[DataFrame, list[str], str]:
+                     persist: bool = True, strategy: str = "auto") -> tuple[DataFrame, list[str], str]:
     """Returns (table with split/target/features, feature names, target name).
 
     The window stage is persisted (memory and disk) before the fit jobs --
@@ -78,7 +84,7 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     Release it with ``spark.catalog.clearCache()`` or ``unpersist`` on the
     frame's source when done.
     """
-    df, target = build_features(dw, task, target_name, keep_columns, leak_safe, key, time)
+    df, target = build_features(dw, task, target_name, keep_columns, leak_safe, key, time, strategy)
     # the split's narrow ranking pass (key, time only) also gives the row count
     cuts = spl.Cuts(df, (time, key))
     if persist:
