@@ -67,9 +67,9 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ())
     pts = c.where(keep).select(*by, _div(F.col("fps"), F.col("_tn"), None).alias("fpr"),
                                _div(F.col("tps"), F.col("_tp"), None).alias("tpr"),
                                F.col(p).cast("double").alias("threshold"))
-    origin = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-                .select(*by, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
-                        F.lit(float("inf")).alias("threshold")))
+    # one origin row per group, from the (already aggregated) distinct-score table
+    origin = c.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
+        *by, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
     return pts.unionByName(origin)
 
 

@@ -38,10 +38,13 @@ def _list(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
 
 
 def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] = (),
-                   na_values: Sequence[str] = PANDAS_NA) -> DataFrame:
+                   na_values: Sequence[str] = PANDAS_NA, multi_line: bool = False) -> DataFrame:
     """Read a headed latin-1 CSV as text, null the NA tokens, then give each
-    column the narrowest of bigint / double / string in ONE aggregation."""
-    raw = (spark.read.option("header", True).option("encoding", "ISO-8859-1").option("multiLine", True)
+    column the narrowest of bigint / double / string in ONE aggregation.
+
+    ``multi_line=True`` accepts newlines inside quoted fields, at the price
+    of reading each file in one task; the default keeps files splittable."""
+    raw = (spark.read.option("header", True).option("encoding", "ISO-8859-1").option("multiLine", multi_line)
            .option("inferSchema", False).option("escape", '"').csv(path))
     na = F.array(*[F.lit(v) for v in na_values])
     clean = raw.select(*[F.when(F.array_contains(na, F.col(c)) | F.col(c).isNull(), F.lit(None).cast("string"))
@@ -58,7 +61,8 @@ def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] =
     return clean.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in clean.columns])
 
 
-def scan_csv_folder(spark: SparkSession, folder: str, height_column: str = "ht") -> dict[str, DataFrame]:
+def scan_csv_folder(spark: SparkSession, folder: str, height_column: str = "ht",
+                    multi_line: bool = False) -> dict[str, DataFrame]:
     """All ``*.csv`` datasets of a folder; missing folder -> FileNotFoundError."""
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"Data folder not found: {folder}")
@@ -66,7 +70,7 @@ def scan_csv_folder(spark: SparkSession, folder: str, height_column: str = "ht")
     for name, path in sorted(_list(spark, folder)):
         if not name.lower().endswith(".csv"):
             continue
-        df = read_csv_typed(spark, path, text_columns=[height_column])
+        df = read_csv_typed(spark, path, text_columns=[height_column], multi_line=multi_line)
         if height_column in df.columns:
             df = df.withColumn(height_column, height_to_cm(height_column))
         out[name[:-4]] = df
