@@ -251,3 +251,23 @@ def soft_vote(df: DataFrame, models: Sequence[PipelineModel], out: str = "p") ->
             "features", "rawPrediction", "probability", "prediction")
         cols.append(F.col(f"_p{i}"))
     return cur.withColumn(out, sum(cols[1:], cols[0]) / len(cols)).drop(*[f"_p{i}" for i in range(len(models))])
+
+
+def fold_fit_score(df: DataFrame, features: Sequence[str], label: str, estimator,
+                   fold_col: str = "fold", train_from_col: str = "train_from",
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """L2/L3 with a model: for every test fold k fit ``estimator`` on the rows
+    positioned before that fold (``train_from <= k``, from
+    ``splits.walk_forward_folds`` / ``time_series_folds``) and score the
+    fold's rows.  Returns (fold, keep..., y, p) of all folds -- scored by ONE
+    grouped metric job afterwards."""
+    asm = _assembler(features)
+    folds = sorted(r[0] for r in df.where(F.col(fold_col).isNotNull()).select(fold_col).distinct().collect())
+    out = None
+    for k in folds:  # one fit per fold, as the reference; k is small (e.g. 4-5)
+        m = Pipeline(stages=[asm, estimator]).fit(df.where(F.col(train_from_col) <= k))
+        s = m.transform(df.where(F.col(fold_col) == k))
+        pcol = positive_proba() if "probability" in s.columns else F.col("prediction")
+        s = s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), pcol.alias("p"))
+        out = s if out is None else out.unionByName(s)
+    return out

@@ -109,20 +109,22 @@ def chrono_split(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.1
 
 
 def _fold_columns(cuts: Cuts, starts: Sequence[int], size_of, df: DataFrame) -> DataFrame:
-    """Test fold k covers [starts[k], starts[k] + size_of(k)); adds fold and train_end."""
+    """Test fold k covers [starts[k], starts[k] + size_of(k)).  Adds ``fold``
+    (test fold or null), ``train_end`` (first test position of that fold) and
+    ``train_from`` (first fold whose training rows [0, starts[k]) include the
+    row: 0 before the first test window, j + 1 inside fold j's window, null
+    after the last window)."""
     cuts.fetch([p for k, s0 in enumerate(starts) for p in (s0, s0 + size_of(k))])
-    fold, train_end = [], []
     first = cuts.before(starts[0]) if starts else F.lit(True)
-    for k, s0 in enumerate(starts):
-        end = cuts.before(s0 + size_of(k))
-        fold.append((end, k))
-        train_end.append((end, s0))
     f = F.when(first, F.lit(None))
     t = F.when(first, F.lit(None))
-    for (pred, k), (_, s0) in zip(fold, train_end):
-        f = f.when(pred, F.lit(k))
-        t = t.when(pred, F.lit(s0))
-    return df.withColumns({"fold": f.cast("int"), "train_end": t.cast("long")})
+    tf = F.when(first, F.lit(0))
+    for k, s0 in enumerate(starts):
+        end = cuts.before(s0 + size_of(k))
+        f = f.when(end, F.lit(k))
+        t = t.when(end, F.lit(s0))
+        tf = tf.when(end, F.lit(k + 1))
+    return df.withColumns({"fold": f.cast("int"), "train_end": t.cast("long"), "train_from": tf.cast("int")})
 
 
 def walk_forward_folds(df: DataFrame, initial_train_size: float = 0.6, test_size: float = 0.1,
@@ -162,7 +164,7 @@ def kfold(df: DataFrame, k: int = 3, order_cols: Sequence[str] = (TIME, KEY)) ->
     sizes = [q + 1 if i < rem else q for i in range(k)]
     starts = [sum(sizes[:i]) for i in range(k)]
     out = _fold_columns(cuts, starts, lambda i: sizes[i], df)
-    return out.drop("train_end")
+    return out.drop("train_end", "train_from")
 
 
 def stratified_folds(df: DataFrame, label: str = "y", k: int = 5,

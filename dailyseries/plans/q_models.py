@@ -226,3 +226,37 @@ def q_cv_summary(spark, sf):
     return j.select("model_name", F.col("m").alias("cv_mean"), F.col("s").alias("cv_std"),
                     (F.col("m") - 2 * F.col("s")).alias("cv_low"), (F.col("m") + 2 * F.col("s")).alias("cv_high"),
                     ((F.col("m") - F.col("_b")) / F.col("_b") * 100).alias("improvement_pct"))
+
+
+
+@query("walk_forward_gbt")
+def q_walk_forward_gbt(spark, sf):
+    """L2 with a model: boosted regression trees refitted on each expanding
+    training window (60 % then 10 % steps), RMSE/MAE/R^2 per fold in one job,
+    with the last training date and last test date of every fold."""
+    from pyspark.ml.regression import GBTRegressor
+    df, feats, y = feature_pipeline(fx.daily_weather(spark, sf, nulls=True), task="regression")
+    f = spl.walk_forward_folds(df)
+    est = GBTRegressor(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=10, maxDepth=4, stepSize=0.1)
+    scored = md.fold_fit_score(f, feats, y, est, keep=["time"])
+    m = mt.regression_metrics(scored, "y", "p", by=["fold"])
+    ends = (f.groupBy("train_from").agg(F.max("time").alias("train_end_time"))
+             .select((F.col("train_from") - 1).alias("fold"), "train_end_time"))
+    test_end = f.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.max("time").alias("test_end_time"))
+    return m.join(ends, "fold").join(test_end, "fold")
+
+
+@query("time_series_cv")
+def q_time_series_cv(spark, sf):
+    """L3 with a model: five expanding-window folds of the rain classifier,
+    AUC per fold and mean +/- 2 std (population) in one grouped job."""
+    from pyspark.ml.classification import GBTClassifier
+    df, feats, y = _cls_table(spark, sf)
+    tr = df.where(F.col("split") == "train")
+    f = spl.time_series_folds(tr, 5)
+    est = GBTClassifier(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=8, maxDepth=4)
+    per = mt.roc_auc(md.fold_fit_score(f, feats, y, est), by=["fold"])
+    summ = per.agg(F.avg("auc_score").alias("cv_mean"), F.stddev_pop("auc_score").alias("cv_std"))
+    from dailyseries.plans.ranking import join_groups
+    return join_groups(per, summ, []).withColumns({"cv_low": F.col("cv_mean") - 2 * F.col("cv_std"),
+                                                   "cv_high": F.col("cv_mean") + 2 * F.col("cv_std")})

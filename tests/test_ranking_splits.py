@@ -85,3 +85,13 @@ def test_stratified_matches_reference_rule(spark):
     got = {r["player_id"]: r["fold"] for r in spl.stratified_folds(df, "y", 5).collect()}
     want = _sk_stratified(y, 5)
     assert [got[i] for i in range(len(y))] == want.tolist()
+
+
+def test_train_from_selects_expanding_windows(spark):
+    df = _series(spark, 100)
+    wf = spl.walk_forward_folds(df, 0.6, 0.1)
+    for k, start in enumerate((60, 70, 80, 90)):
+        assert wf.where(F.col("train_from") <= k).count() == start
+    assert wf.where(F.col("train_from").isNull()).count() == 0  # 60 + 4 * 10 = 100 rows all used
+    ts = spl.time_series_folds(_series(spark, 101), 5)  # 101 // 6 = 16; tests start at 21
+    assert [ts.where(F.col("train_from") <= k).count() for k in range(5)] == [21, 37, 53, 69, 85]
