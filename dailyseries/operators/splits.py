@@ -45,7 +45,8 @@ def _int_mul(n: Column, ratio: float) -> Column:
     return F.floor(n.cast("double") * F.lit(float(ratio)))
 
 
-MAX_BOUNDARIES = 256
+MAX_BOUNDARIES = 1024
+MAX_CLASSES = 64
 
 
 class Cuts:
@@ -177,7 +178,10 @@ def stratified_folds(df: DataFrame, label: str = "y", k: int = 5,
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
     cuts = Cuts(df, [label, *keys])
-    sizes = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
+    classes = df.groupBy(label).count()
+    if classes.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"stratified folds need a class label (more than {MAX_CLASSES} values in {label!r})")
+    sizes = sorted((r[0], r[1]) for r in classes.collect())  # one row per class, <= MAX_CLASSES
 
     def cnt(m: int, i: int) -> int:  # #{j in [0, m): j mod k == i}
         return max(0, (m - i + k - 1) // k)

@@ -124,11 +124,12 @@ def lag_cols(w: WindowSpec, col: str, lags: Iterable[int] = (1, 2),
 
 
 def lag_features(df: DataFrame, col: str, lags: Iterable[int] = (1, 2), prefix: str = "lag",
-                 key: str = KEY, time: str = TIME) -> DataFrame:
+                 key: str = KEY, time: str = TIME, strategy: str = "series") -> DataFrame:
     """``lag{n}`` = x[t-n].  The reference name carries no source column,
     so a second call overwrites; pass ``prefix`` for a safe name."""
     lags = list(lags)
-    return series_frame(df, lambda w: lag_cols(w, col, lags, prefix), key, time, back=max(lags))
+    return series_frame(df, lambda w: lag_cols(w, col, lags, prefix), key, time, back=max(lags),
+                        strategy=strategy)
 
 
 # --------------------------------------------------------------- W4-W8
@@ -262,10 +263,10 @@ def sequence_cols(w: WindowSpec, cols: Iterable[str], length: int = 7) -> dict[s
 
 
 def sequences(df: DataFrame, cols: Iterable[str], label: str, length: int = 7,
-              key: str = KEY, time: str = TIME) -> DataFrame:
+              key: str = KEY, time: str = TIME, strategy: str = "series") -> DataFrame:
     """Rows i >= L with the L previous rows as a sequence and y[i] as label.
 
     The collected frame is bounded by ``length``, never by the series."""
     cols = list(cols)
-    out = series_frame(df, lambda w: sequence_cols(w, cols, length), key, time, back=length)
+    out = series_frame(df, lambda w: sequence_cols(w, cols, length), key, time, back=length, strategy=strategy)
     return out.where(F.size("sequence") == length).select(key, time, "sequence", label)

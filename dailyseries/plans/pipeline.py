@@ -78,9 +78,11 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
                      persist: bool = True, strategy: str = "auto") -> tuple[DataFrame, list[str], str]:
     """Returns (table with split/target/features, feature names, target name).
 
-    The window stage is persisted (memory and disk) before the fit jobs --
-    the split ranking, the one-hot categories and the impute/scale
-    statistics -- read it; a lost block is recomputed from lineage.
+    The window stage is persisted (to executor disk: a wide feature frame
+    at scale does not belong in the heap, and nothing of it stays pinned
+    there between queries) before the fit jobs -- the one-hot categories
+    and the impute/scale statistics -- read it; a lost block is recomputed
+    from lineage.
     Release it with ``spark.catalog.clearCache()`` or ``unpersist`` on the
     frame's source when done.
     """
@@ -94,7 +96,7 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
         # task count of the window stage that feeds the cache)
         parallel = df.sparkSession.sparkContext.defaultParallelism
         parts = max(parallel, math.ceil(cuts.n / ROWS_PER_PARTITION))
-        df = df.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.coalesce(parts).persist(StorageLevel.DISK_ONLY)
     cats = [c for c in ("weather_code", "season") if c in df.columns]
     if leak_safe:
         df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time, cuts=cuts)

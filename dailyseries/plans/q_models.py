@@ -17,7 +17,6 @@ from dailyseries.operators import windows as win
 from dailyseries.plans import fixtures as fx
 from dailyseries.plans import oracle as o
 from dailyseries.plans.pipeline import feature_pipeline
-from dailyseries.plans.q_metrics import CUM as _CUM  # noqa: F401
 from dailyseries.plans.q_pipeline import _split_sql
 from dailyseries.plans.q_windows import PLAIN
 from dailyseries.plans.registry import query
@@ -254,7 +253,7 @@ def q_time_series_cv(spark, sf):
     df, feats, y = _cls_table(spark, sf)
     tr = df.where(F.col("split") == "train")
     f = spl.time_series_folds(tr, 5)
-    est = GBTClassifier(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=8, maxDepth=4)
+    est = GBTClassifier(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=5, maxDepth=3)
     per = mt.roc_auc(md.fold_fit_score(f, feats, y, est), by=["fold"])
     summ = per.agg(F.avg("auc_score").alias("cv_mean"), F.stddev_pop("auc_score").alias("cv_std"))
     from dailyseries.plans.ranking import join_groups

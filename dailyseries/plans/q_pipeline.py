@@ -12,7 +12,7 @@ from dailyseries.operators import windows as win
 from dailyseries.plans import fixtures as fx
 from dailyseries.plans import oracle as o
 from dailyseries.plans.pipeline import feature_pipeline
-from dailyseries.plans.q_windows import PLAIN, TEMPORAL_SQL, _advanced_items, _rolling_precip_sql, rows
+from dailyseries.plans.q_windows import PLAIN, TEMPORAL_SQL, _advanced_items, rows
 from dailyseries.plans.registry import query
 
 R = o.r

@@ -3,8 +3,6 @@ trip through the shared checkpoint folder on data derived from the tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dailyseries.operators import metrics as mt
 from dailyseries.operators import scoring as sc
 from dailyseries.operators import splits as spl
