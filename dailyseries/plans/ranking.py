@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from dailyseries.session import checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id << 33 | position
+MAP_OFFSETS = 1000  # up to this many partitions the offsets are a literal map
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -152,14 +153,24 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "rn"
     ranged = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
-    sizes = sorted((r[0], r[1]) for r in ranged.groupBy(pid).count().collect())  # <= n rows
+    sizes = sorted((r[0], r[1]) for r in ranged.groupBy(pid).count().collect())  # one row per partition
     offsets, total = [], 0
     for p, c in sizes:
-        offsets += [F.lit(p), F.lit(total)]
+        offsets.append((p, total))
         total += c
-    off = F.create_map(*offsets) if offsets else F.create_map().cast("map<bigint,bigint>")
-    rn = F.element_at(off, pid) + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1
-    return ranged.select(*df.columns, rn.alias(name)), total
+    local = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1
+    if len(offsets) <= MAP_OFFSETS:
+        off = (F.create_map(*[F.lit(x) for pair in offsets for x in pair]) if offsets
+               else F.create_map().cast("map<bigint,bigint>"))
+        return ranked_select(ranged, df.columns, F.element_at(off, pid) + local, name), total
+    # many partitions: the offset table (one row per partition) is broadcast
+    table = spark.createDataFrame(offsets, "_pid bigint, _off bigint")
+    j = ranged.withColumn("_pid", pid).join(F.broadcast(table), "_pid")
+    return ranked_select(j, df.columns, F.col("_off") + local, name), total
+
+
+def ranked_select(df: DataFrame, columns: Sequence[str], rn, name: str) -> DataFrame:
+    return df.select(*columns, rn.alias(name))
 
 
 def join_groups(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -18,6 +18,18 @@ def test_global_row_number_matches_window(spark):
     assert bad == 0
 
 
+@pytest.mark.parametrize("parts,map_limit", [(64, 1000), (64, 4)])
+def test_global_row_number_many_partitions(spark, monkeypatch, parts, map_limit):
+    import dailyseries.plans.ranking as rk
+    monkeypatch.setattr(rk, "MAP_OFFSETS", map_limit)  # literal map, then broadcast table
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(int(v), i) for i, v in enumerate(rng.integers(0, 10_000, 3000))], "v long, i long")
+    ranked, n = global_row_number(df, ["v", "i"], partitions=parts)
+    assert n == 3000
+    got = [r["rn"] for r in ranked.orderBy("v", "i").collect()]
+    assert got == list(range(1, 3001))
+
+
 def test_running_sum_and_quantiles(spark):
     rng = np.random.default_rng(2)
     vals = rng.integers(0, 40, 500).astype(float)
