@@ -165,10 +165,11 @@ def grid_from(grid: Mapping[str, Sequence]) -> list[dict]:
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
                 grid: Mapping[str, Sequence] | None = None, base: Mapping | None = None,
-                parallelism: int = 4, top_k: int = 10) -> tuple[DataFrame, list[dict]]:
+                parallelism: int = 4, top_k: int = 10) -> tuple[DataFrame, list[dict], PipelineModel]:
     """M2/O3: cross-validated AUC of every grid point (folds given by
     ``fold_col``, e.g. ``stratified_folds``); returns the ranked table
-    (params, mean, std, rank; top_k rows) and the ranked parameter dicts."""
+    (params, mean, std, rank; top_k rows), the ranked parameter dicts and
+    the best model refitted on all rows (assembler + trees)."""
     grid = grid or DEFAULT_GRID
     combos = grid_from(grid)
     est = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **spark_params(base or {}))
@@ -188,7 +189,8 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     ss = df.sparkSession
     table = ss.createDataFrame(ranked[:top_k], "rank_test_score int, grid_index int, params string, "
                                                "mean_test_score double, std_test_score double")
-    return table, [combos[i] for i in order]
+    best = PipelineModel(stages=[_assembler(features), m.bestModel])
+    return table, [combos[i] for i in order], best
 
 
 def sample_params(space: Mapping[str, Sequence], n: int, seed: int = SEED) -> list[dict]:
