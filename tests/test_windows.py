@@ -140,3 +140,31 @@ def test_pipeline_bucketed_strategy_equals_series(spark, monkeypatch):
     assert len(pa) == len(pb) > 0
     for c in cols[2:]:
         np.testing.assert_allclose(pa[c].astype(float), pb[c].astype(float), equal_nan=True, err_msg=c)
+
+
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_leak_safe_features_ignore_the_future(spark, task):
+    from conftest import SF0001
+    from dailyseries.plans import fixtures as fx
+    from dailyseries.plans.pipeline import build_features
+    dw = fx.daily_weather(spark, SF0001, nulls=True)
+    cut = dt.date(1997, 6, 30)
+    future = F.col("time") > F.lit(cut)
+    bumped = dw.withColumns({c: F.when(future, F.col(c) * 3 + 1).otherwise(F.col(c))
+                             for c in ("precipitation_sum", "rain_sum", "temperature_2m_max", "wind_speed_10m_max")})
+    a, target = build_features(dw, task=task, leak_safe=True)
+    b, _ = build_features(bumped, task=task, leak_safe=True)
+    feats = [c for c in a.columns if c not in ("series_key", "time", target, "season")]
+    past = F.col("time") <= F.lit(cut)
+    pa = a.where(past).select("series_key", "time", *feats).orderBy("series_key", "time").toPandas()
+    pb = b.where(past).select("series_key", "time", *feats).orderBy("series_key", "time").toPandas()
+    assert len(pa) == len(pb) > 0
+    for c in feats:
+        np.testing.assert_allclose(pa[c].astype(float), pb[c].astype(float), equal_nan=True, err_msg=c)
+    # the parity mode leaks: its regression lags read the target, i.e. the future
+    if task == "regression":
+        pa2, _ = build_features(dw, task=task, leak_safe=False)
+        pb2, _ = build_features(bumped, task=task, leak_safe=False)
+        x = pa2.where(past).select("series_key", "time", "lag1").orderBy("series_key", "time").toPandas()
+        y = pb2.where(past).select("series_key", "time", "lag1").orderBy("series_key", "time").toPandas()
+        assert not np.allclose(x["lag1"].astype(float), y["lag1"].astype(float), equal_nan=True)
