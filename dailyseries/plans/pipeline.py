@@ -36,6 +36,8 @@ from dailyseries.operators.windows import KEY, TIME
 ROWS_PER_PARTITION = 50_000
 # the cached feature frame lives on executor disk, never pinned in the heap
 PERSIST_LEVEL = StorageLevel.DISK_ONLY
+# keep the daily input too, so the raw table is scanned once per pipeline
+PERSIST_INPUT = True
 
 
 def build_features(dw: DataFrame, task: str = "regression", target_name: str | None = None,
@@ -88,7 +90,7 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     Release it with ``spark.catalog.clearCache()`` or ``unpersist`` on the
     frame's source when done.
     """
-    if persist:
+    if persist and PERSIST_INPUT:
         # the daily input is read by the strategy check, the split ranking and
         # the window stage: keep it (on disk) so the raw scan and the daily
         # pre-aggregation run once, not three times
