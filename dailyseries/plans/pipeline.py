@@ -93,8 +93,9 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     if persist and PERSIST_INPUT:
         # the daily input is read by the strategy check, the split ranking and
         # the window stage: keep it (on disk) so the raw scan and the daily
-        # pre-aggregation run once, not three times
-        dw = dw.persist(PERSIST_LEVEL)
+        # pre-aggregation run once, not three times; one partition per core
+        # (a cached plan keeps the shuffle's partition count otherwise)
+        dw = dw.coalesce(dw.sparkSession.sparkContext.defaultParallelism).persist(PERSIST_LEVEL)
     df, target = build_features(dw, task, target_name, keep_columns, leak_safe, key, time, strategy)
     # the split's narrow ranking pass (key, time only) also gives the row count
     cuts = spl.Cuts(df, (time, key))
