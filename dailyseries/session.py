@@ -70,3 +70,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files, from the cluster file system (no job)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(hp.getFileSystem(conf).getContentSummary(hp).getLength())
+    return total
+
+
+def scale_conf(spark: SparkSession, paths: list[str], bytes_per_partition: int = 200 << 20,
+               split_bytes: int = 256 << 20, apply: bool = True) -> dict[str, str]:
+    """Size shuffles and file splits from the input size instead of fixed numbers.
+
+    Shuffle partitions: one per ``bytes_per_partition`` of input (columnar
+    input expands in memory; pre-aggregated daily rows shrink it again) and
+    never fewer than two per core; AQE then coalesces small ones and splits
+    skewed ones.  Scan splits: ``split_bytes`` per task.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    size = input_bytes(spark, paths)
+    conf = {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-size // bytes_per_partition))),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    }
+    if apply:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+    return conf

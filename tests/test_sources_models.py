@@ -65,3 +65,14 @@ def test_param_mapping():
     assert m == {"stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 20, "featureSubsetStrategy": "0.8",
                  "subsamplingRate": 0.6}
     assert len(md.grid_from(md.DEFAULT_GRID)) == 5184
+
+
+def test_scale_conf_from_input_size(spark):
+    from dailyseries.session import input_bytes, scale_conf
+    paths = [f"{SF0001}/lineitem.parquet", f"{SF0001}/orders.parquet"]
+    assert input_bytes(spark, paths) > 0
+    conf = scale_conf(spark, paths, apply=False)
+    cores = spark.sparkContext.defaultParallelism
+    assert int(conf["spark.sql.shuffle.partitions"]) == 2 * cores  # tiny input: the core floor
+    big = scale_conf(spark, paths, bytes_per_partition=1 << 10, apply=False)
+    assert int(big["spark.sql.shuffle.partitions"]) > 2 * cores
