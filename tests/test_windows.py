@@ -125,15 +125,16 @@ def test_halo_range_equals_full_history(spark):
             np.testing.assert_allclose(full[c].astype(float), part[c].astype(float), equal_nan=True, err_msg=c)
 
 
-def test_pipeline_bucketed_strategy_equals_series(spark, monkeypatch):
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_pipeline_bucketed_strategy_equals_series(spark, monkeypatch, task):
     from conftest import SF0001
     monkeypatch.setattr(win, "BUCKET_ROWS", 60)  # many buckets per series, halos on every edge
     from dailyseries.plans import fixtures as fx
     from dailyseries.plans.pipeline import build_features
     dw = fx.daily_weather(spark, SF0001, n_series=2, nulls=True)
-    a, _ = build_features(dw, strategy="series")
-    b, _ = build_features(dw, strategy="bucketed")
-    cols = ["series_key", "time", "precip_3day_next", "lag1", "precip_30d_std", "temp_anomaly", "radiation_lag7",
+    a, target = build_features(dw, task=task, leak_safe=False, strategy="series")
+    b, _ = build_features(dw, task=task, leak_safe=False, strategy="bucketed")
+    cols = ["series_key", "time", target, "lag1", "lag2", "precip_30d_std", "temp_anomaly", "radiation_lag7",
             "temperature_2m_min_30d_min"]
     pa = a.select(*cols).orderBy("series_key", "time").toPandas()
     pb = b.select(*cols).orderBy("series_key", "time").toPandas()
