@@ -41,7 +41,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
-    """(did, th, drops): line numbers each document loses, one row per document that loses any."""
+    """(__d_did, __d_th, __drops): line numbers each document loses, for those that lose any."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     cuts = keyed.select(F.percentile_approx("did", [i / batches for i in range(1, batches)], 10_000).alias("q"))
@@ -65,7 +65,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BA
         if i < len(bounds):
             runs.add(marked.where("not seen").select("h1", "h2"))
     return (reduce(DataFrame.unionByName, drops).groupBy("did", "th")
-            .agg(F.collect_set("pos").alias("drops")).withColumnRenamed("did", "d_did").withColumnRenamed("th", "d_th"))
+            .agg(F.collect_set("pos").alias("__drops")).withColumnsRenamed({"did": "__d_did", "th": "__d_th"}))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
@@ -83,15 +83,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     base = docs.drop(*ADDED)
     keyed = base.withColumns({"__did": F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)),
                               "__th": F.xxhash64(text)})
-    joined = keyed.join(drops, (keyed["__did"] == drops["d_did"]) & (keyed["__th"] == drops["d_th"]), "left")
+    joined = keyed.join(drops, (keyed["__did"] == drops["__d_did"]) & (keyed["__th"] == drops["__d_th"]), "left")
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     parts = F.split(body, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("drops"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drops"))
     out = joined.withColumns({
-        "kept_text": F.when(F.col("drops").isNull(), body)
+        "kept_text": F.when(F.col("__drops").isNull(), body)
         .otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")),
         "n_lines": F.size(parts).cast("long"),
-        "n_dropped": F.coalesce(F.size("drops"), F.lit(0)).cast("long")})
+        "n_dropped": F.coalesce(F.size("__drops"), F.lit(0)).cast("long")})
     return out.select(*base.columns, "kept_text", "n_lines", "n_dropped")
 
 

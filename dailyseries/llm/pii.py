@@ -232,13 +232,13 @@ def sanitize(docs: DataFrame, **options) -> DataFrame:
              .when(F.col("removed"), F.lit("")).when(lettered, F.lit("[WORD]")).otherwise(F.lit("[CODE]")))
     named = spans.join(strong, (F.col("kind") == TERM) & (F.lower("hit") == F.col("t_term")), "left")
     per = (named.groupBy("did", "th")
-           .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", label.alias("label")))).alias("s"))
-           .withColumnsRenamed({"did": "s_did", "th": "s_th"}))
+           .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", label.alias("label")))).alias("__s"))
+           .withColumnsRenamed({"did": "__s_did", "th": "__s_th"}))
     base = docs.drop("clean_text")
     text = F.col("text").cast("string")
     body = F.coalesce(text, F.lit(""))
     keyed = base.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "__th": F.xxhash64(body)})
-    out = keyed.join(per, (F.col("__did") == F.col("s_did")) & (F.col("__th") == F.col("s_th")), "left")
+    out = keyed.join(per, (F.col("__did") == F.col("__s_did")) & (F.col("__th") == F.col("__s_th")), "left")
 
     def step(acc, x):
         fresh = x["start"] >= acc["at"]
@@ -246,10 +246,10 @@ def sanitize(docs: DataFrame, **options) -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
                         F.concat(acc["out"], F.when(fresh, F.concat(gap, x["label"])).otherwise("")).alias("out"))
 
-    clean = F.aggregate("s", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step,
+    clean = F.aggregate("__s", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"),
                                                                      F.char_length(body))))
-    return out.select(*base.columns, F.when(F.col("s").isNull(), text).otherwise(clean).alias("clean_text"))
+    return out.select(*base.columns, F.when(F.col("__s").isNull(), text).otherwise(clean).alias("clean_text"))
 
 
 def digest_columns(result: DataFrame) -> DataFrame:
