@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import math
 import random
+import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -47,21 +49,27 @@ DEFAULT_GRID = {
 }
 
 
+# parameters without a counterpart in Spark's trees: reported, not applied
+UNSUPPORTED = ("bagging_freq", "reg_alpha", "reg_lambda")
+MAX_DEPTH = 30  # Spark's limit; also what "no limit" means
+
+
 def spark_params(params: Mapping) -> dict:
-    """Map boosting-library parameter names to Spark tree parameters."""
+    """Map boosting-library parameter names to Spark tree parameters.
+
+    Unknown names raise; names without a counterpart and depths above Spark's
+    limit are reported with a warning."""
     out: dict = {}
-    depth = None
+    depths: list[int] = []
     for k, v in params.items():
         if k in ("learning_rate", "eta"):
             out["stepSize"] = float(v)
         elif k in ("n_estimators", "num_boost_round"):
             out["maxIter"] = int(v)
         elif k == "num_leaves":
-            d = int(math.ceil(math.log2(max(2, int(v)))))
-            depth = d if depth is None else min(depth, d)
+            depths.append(int(math.ceil(math.log2(max(2, int(v))))))
         elif k == "max_depth":
-            d = 30 if int(v) <= 0 else int(v)
-            depth = d if depth is None else min(depth, d)
+            depths.append(MAX_DEPTH if int(v) <= 0 else int(v))
         elif k in ("min_data_in_leaf", "min_child_samples", "min_child_weight"):
             out["minInstancesPerNode"] = max(1, int(v))
         elif k in ("feature_fraction", "colsample_bytree"):
@@ -70,8 +78,14 @@ def spark_params(params: Mapping) -> dict:
             out["subsamplingRate"] = float(v)
         elif k == "gamma":
             out["minInfoGain"] = float(v)
-    if depth is not None:
-        out["maxDepth"] = min(depth, 30)
+        elif k in UNSUPPORTED:
+            warnings.warn(f"{k} has no counterpart in Spark's trees and is not applied", stacklevel=2)
+        else:
+            raise ValueError(f"unknown model parameter {k!r}")
+    if depths:
+        if min(depths) > MAX_DEPTH:
+            warnings.warn(f"depth {min(depths)} is above Spark's limit of {MAX_DEPTH}", stacklevel=2)
+        out["maxDepth"] = min([*depths, MAX_DEPTH])
     return out
 
 
@@ -165,39 +179,51 @@ def grid_from(grid: Mapping[str, Sequence]) -> list[dict]:
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
                 grid: Mapping[str, Sequence] | None = None, base: Mapping | None = None,
-                parallelism: int = 4, top_k: int = 10) -> tuple[DataFrame, list[dict], PipelineModel]:
-    """M2/O3: cross-validated AUC of every grid point (folds given by
-    ``fold_col``, e.g. ``stratified_folds``); returns the ranked table
-    (params, mean, std, rank; top_k rows), the ranked parameter dicts and
-    the best model refitted on all rows (assembler + trees)."""
+                parallelism: int = 4) -> tuple[DataFrame, list[dict], PipelineModel]:
+    """M2: cross-validated AUC of every grid point (folds given by
+    ``fold_col``, e.g. ``stratified_folds``); returns the ranked table of all
+    points (rank, params, mean, std), the ranked parameter dicts and the best
+    model refitted on all rows (assembler + trees).
+
+    Points that map to the same Spark parameters are fitted once and share
+    their scores."""
     grid = grid or DEFAULT_GRID
     combos = grid_from(grid)
     est = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **spark_params(base or {}))
-    maps = []
-    for c in combos:
-        sp = spark_params(c)
-        maps.append({getattr(est, k): v for k, v in sp.items()})
+    with warnings.catch_warnings():
+        warnings.simplefilter("once")
+        mapped = [spark_params(c) for c in combos]
+    keys = [tuple(sorted(sp.items())) for sp in mapped]
+    distinct = {key: n for n, key in enumerate(dict.fromkeys(keys))}
+    maps = [{getattr(est, k): v for k, v in key} for key in distinct]
+    at = [distinct[key] for key in keys]
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
                         parallelism=parallelism, seed=SEED)
     data = _assembler(features).transform(df.withColumn(fold_col, F.col(fold_col).cast("int")))
     m = cv.fit(data)
-    rows = [(i, str(combos[i]), float(m.avgMetrics[i]), float(m.stdMetrics[i])) for i in range(len(combos))]
+    rows = [(i, str(combos[i]), float(m.avgMetrics[at[i]]), float(m.stdMetrics[at[i]])) for i in range(len(combos))]
     order = sorted(range(len(rows)), key=lambda i: (-rows[i][2], i))
     ranked = [(rank + 1,) + rows[i] for rank, i in enumerate(order)]
     ss = df.sparkSession
-    table = ss.createDataFrame(ranked[:top_k], "rank_test_score int, grid_index int, params string, "
-                                               "mean_test_score double, std_test_score double")
+    table = ss.createDataFrame(ranked, "rank_test_score int, grid_index int, params string, "
+                                       "mean_test_score double, std_test_score double")
     best = PipelineModel(stages=[_assembler(features), m.bestModel])
     return table, [combos[i] for i in order], best
 
 
 def sample_params(space: Mapping[str, Sequence], n: int, seed: int = SEED) -> list[dict]:
     """M3/M5: ``n`` distinct parameter draws from a discrete space, seeded."""
-    rng = random.Random(seed)
-    all_ = grid_from(space)
-    return rng.sample(all_, min(n, len(all_)))
+    size = math.prod(len(v) for v in space.values())
+    out = []
+    for index in random.Random(seed).sample(range(size), min(n, size)):
+        point = {}
+        for k, values in space.items():  # mixed radix: the space is never listed
+            index, digit = divmod(index, len(values))
+            point[k] = values[digit]
+        out.append(point)
+    return out
 
 
 def random_search_regression(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
@@ -257,7 +283,7 @@ def soft_vote(df: DataFrame, models: Sequence[PipelineModel], out: str = "p") ->
 
 def fold_fit_score(df: DataFrame, features: Sequence[str], label: str, estimator,
                    fold_col: str = "fold", train_from_col: str = "train_from",
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), parallelism: int = 4) -> DataFrame:
     """L2/L3 with a model: for every test fold k fit ``estimator`` on the rows
     positioned before that fold (``train_from <= k``, from
     ``splits.walk_forward_folds`` / ``time_series_folds``) and score the
@@ -265,11 +291,26 @@ def fold_fit_score(df: DataFrame, features: Sequence[str], label: str, estimator
     grouped metric job afterwards."""
     asm = _assembler(features)
     folds = sorted(r[0] for r in df.where(F.col(fold_col).isNotNull()).select(fold_col).distinct().collect())
-    out = None
-    for k in folds:  # one fit per fold, as the reference; k is small (e.g. 4-5)
-        m = Pipeline(stages=[asm, estimator]).fit(df.where(F.col(train_from_col) <= k))
+
+    def one(k: int) -> DataFrame:
+        m = Pipeline(stages=[asm, estimator.copy()]).fit(df.where(F.col(train_from_col) <= k))
         s = m.transform(df.where(F.col(fold_col) == k))
         pcol = positive_proba() if "probability" in s.columns else F.col("prediction")
-        s = s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), pcol.alias("p"))
-        out = s if out is None else out.unionByName(s)
-    return out
+        return s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), pcol.alias("p"))
+
+    if not folds:
+        raise ValueError(f"no rows have a fold in {fold_col!r}")
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:  # one fit per fold
+        return reduce(DataFrame.unionByName, ex.map(one, folds))
+
+
+def save_model(model: PipelineModel | None, path: str) -> None:
+    """Write a fitted model; a missing model raises."""
+    if model is None:
+        raise ValueError("no trained model to save")
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """Read a model written by ``save_model``."""
+    return PipelineModel.load(path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,6 @@ from dailyseries.plans.ranking import exact_quantiles
 
 # fixed values: one-hot categories known up front (all emitted even if absent)
 KNOWN_CATEGORIES = {"season": SEASONS}
-MAX_CATEGORIES = 1000
 
 
 def _train(df: DataFrame, split_col: str | None) -> DataFrame:
@@ -170,35 +170,50 @@ def _features(df: DataFrame, split_col: str | None) -> list[str]:
     return [c for c in numeric_columns(df) if c != split_col]
 
 
-def fit_one_hot(df: DataFrame, columns: Iterable[str], categories: dict | None = None,
-                max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
+def fit_one_hot(df: DataFrame, columns: Iterable[str], categories: dict | None = None) -> dict[str, list]:
     """R5 fit: sorted observed values per column (known lists used as given).
 
-    One distinct job for all columns together; the category list is
-    bounded by ``max_categories`` (a larger one is an error, not a cut)."""
+    One distinct job for all columns together; values keep their type, NaN is
+    a missing value.  Every category becomes a column, so this is for columns
+    with few categories; ``one_hot_vector`` takes any number of them."""
     known = dict(KNOWN_CATEGORIES)
     known.update(categories or {})
     present = [c for c in columns if c in df.columns]
     fit = {c: list(known[c]) for c in present if c in known}
     todo = [c for c in present if c not in fit]
     if todo:
-        long = (df.select(*[F.col(c).cast("string").alias(c) for c in todo])
-                  .unpivot([], todo, "column", "value").where(F.col("value").isNotNull()).distinct())
-        sizes = long.groupBy("column").count().collect()
-        big = [r["column"] for r in sizes if r["count"] > max_categories]
-        if big:
-            raise ValueError(f"one-hot: more than {max_categories} categories in {big}")
-        vals: dict[str, list] = {c: [] for c in todo}
         types = dict(df.dtypes)
-        for r in long.collect():  # bounded by max_categories per column
-            vals[r["column"]].append(r["value"])
-        for c in todo:
-            num = types[c] in ("int", "bigint", "smallint", "tinyint", "double", "float")
-            conv = (lambda s: float(s) if "." in s or "e" in s.lower() else int(s)) if num else str
-            fit[c] = sorted(conv(v) for v in vals[c])
+
+        def parts(c: str) -> Column:
+            whole = types[c] in ("int", "bigint", "smallint", "tinyint")
+            real = types[c] in ("double", "float")
+            x = F.when(~F.isnan(c), F.col(c)) if real else F.col(c)
+            none = F.lit(None)
+            return F.struct(F.lit(c).alias("column"), (x if whole else none).cast("bigint").alias("i"),
+                            (x if real else none).cast("double").alias("d"),
+                            (none if whole or real else x).cast("string").alias("s"))
+
+        seen = df.select(F.inline(F.array(*[parts(c) for c in todo]))).distinct()
+        vals: dict[str, list] = {c: [] for c in todo}
+        for column, *typed in seen.collect():  # one row per category
+            vals[column] += [v for v in typed if v is not None]
+        fit.update({c: sorted(v) for c, v in vals.items()})
     return {c: fit[c] for c in present}  # encoded in the order given
 
 
+def one_hot_vector(df: DataFrame, column: str, out: str, split_col: str | None = "split") -> DataFrame:
+    """R5 for any number of categories: one sparse vector column instead of a
+    column per category.  Indices are fitted on the training rows; null and
+    unseen values give the zero vector."""
+    text = f"_{column}_text"
+    data = df.withColumn(text, F.col(column).cast("string"))
+    index = StringIndexer(inputCol=text, outputCol=f"_{column}_index", handleInvalid="keep",
+                          stringOrderType="alphabetAsc").fit(_train(data, split_col))
+    encoder = OneHotEncoder(inputCol=f"_{column}_index", outputCol=out, dropLast=True)  # the last is "invalid"
+    indexed = index.transform(data)
+    return encoder.fit(indexed).transform(indexed).drop(text, f"_{column}_index")
+
+
 def apply_one_hot(df: DataFrame, fit: dict[str, list]) -> DataFrame:
     """R5 transform: ``{col}_{value}`` 0/1 ints at the end, original dropped,
     null -> all zeros.  One projection."""

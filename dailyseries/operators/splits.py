@@ -9,13 +9,15 @@ Per-series splits use ``row_number`` over the series window instead.
 
 Sizes follow the reference exactly: ``int(n * ratio)`` in Python float
 arithmetic, scikit-learn's fold sizes for k-fold, stratified k-fold and
-the expanding time-series folds.  Order columns must be unique per row
-(daily series: (time, series_key)).
+the expanding time-series folds.  Order columns must be unique per row and
+not null (daily series: (time, series_key)); anything else raises.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,48 +47,56 @@ def _int_mul(n: Column, ratio: float) -> Column:
     return F.floor(n.cast("double") * F.lit(float(ratio)))
 
 
-MAX_BOUNDARIES = 1024
-MAX_CLASSES = 64
-
-
 class Cuts:
-    """Rows at given 0-based positions of a total order, for predicates."""
+    """Rows at given 0-based positions of a total order, for predicates.
+
+    The order columns must identify a row: a null or a tie among them raises,
+    since such rows have no defined side of a cut.
+    """
 
     def __init__(self, df: DataFrame, order_cols: Sequence[str]):
         self.order_cols = list(order_cols)
-        narrow = df.select(*self.order_cols)
-        self.ranked, self.n = global_row_number(narrow, self.order_cols, name="_rn")
+        self.types = dict(df.dtypes)
+        self.ranked, self.n = global_row_number(df.select(*self.order_cols), self.order_cols, name="_rn")
+        null = reduce(or_, [F.col(c).isNull() for c in self.order_cols])
+        bad = self.ranked.groupBy(*self.order_cols).count().where((F.col("count") > 1) | null).limit(1).collect()
+        if bad:
+            raise ValueError(f"order columns {self.order_cols} must be unique and not null; found {bad[0]}")
         self._rows: dict[int, tuple] = {}
 
     def fetch(self, positions: Sequence[int]) -> None:
+        """Fetch the rows at ``positions``; as many as the caller's folds, not as the data."""
         want = sorted({int(p) + 1 for p in positions if 0 <= p < self.n} - set(self._rows))
-        if len(want) > MAX_BOUNDARIES:
-            raise ValueError(f"too many cut points ({len(want)})")
         if want:
-            for r in self.ranked.where(F.col("_rn").isin(want)).collect():  # <= MAX_BOUNDARIES rows
+            for r in self.ranked.where(F.col("_rn").isin(want)).collect():
                 self._rows[r["_rn"]] = tuple(r[c] for c in self.order_cols)
 
+    def row(self) -> Column:
+        return F.struct(*[F.col(c).alias(c) for c in self.order_cols])
+
+    def point(self, position: int) -> Column:
+        """The order columns at ``position`` (0 <= position < n)."""
+        self.fetch([position])
+        return F.struct(*[F.lit(v).cast(self.types[c]).alias(c)
+                          for c, v in zip(self.order_cols, self._rows[position + 1])])
+
     def before(self, position: int) -> Column:
         """Predicate: the row's position is < ``position``."""
         if position <= 0:
             return F.lit(False)
         if position >= self.n:
             return F.lit(True)
-        self.fetch([position])
-        b = self._rows[position + 1]
-        expr = None
-        for i in reversed(range(len(self.order_cols))):
-            c, v = F.col(self.order_cols[i]), F.lit(b[i])
-            expr = (c < v) if expr is None else (c < v) | ((c == v) & expr)
-        return expr
-
+        return self.row() < self.point(position)
 
-def _assign(bounds: Sequence[tuple[int, object]], default=None) -> Column:
-    """CASE over increasing cut positions: first ``before(pos)`` wins."""
-    e = None
-    for pred, val in bounds:
-        e = F.when(pred, F.lit(val)) if e is None else e.when(pred, F.lit(val))
-    return e.otherwise(F.lit(default)) if e is not None else F.lit(default)
+    def segment(self, positions: Sequence[int]) -> Column:
+        """How many of the ascending ``positions`` are at or before the row."""
+        self.fetch(positions)
+        always = sum(p <= 0 for p in positions)
+        points = [self.point(p) for p in positions if 0 < p < self.n]
+        if not points:
+            return F.lit(always)
+        row = self.row()
+        return F.size(F.filter(F.array(*points), lambda p: p <= row)) + always
 
 
 def chrono_split(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.15,
@@ -106,7 +116,8 @@ def chrono_split(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.1
     tr = int(cuts.n * train_ratio)
     va = tr + int(cuts.n * val_ratio)
     cuts.fetch([tr, va])
-    return df.withColumn(split_col, _assign([(cuts.before(tr), "train"), (cuts.before(va), "val")], "test"))
+    split = F.when(cuts.before(tr), "train").when(cuts.before(va), "val").otherwise("test")
+    return df.withColumn(split_col, split)
 
 
 def _fold_columns(cuts: Cuts, starts: Sequence[int], size_of, df: DataFrame) -> DataFrame:
@@ -115,17 +126,17 @@ def _fold_columns(cuts: Cuts, starts: Sequence[int], size_of, df: DataFrame) ->
     ``train_from`` (first fold whose training rows [0, starts[k]) include the
     row: 0 before the first test window, j + 1 inside fold j's window, null
     after the last window)."""
-    cuts.fetch([p for k, s0 in enumerate(starts) for p in (s0, s0 + size_of(k))])
-    first = cuts.before(starts[0]) if starts else F.lit(True)
-    f = F.when(first, F.lit(None))
-    t = F.when(first, F.lit(None))
-    tf = F.when(first, F.lit(0))
-    for k, s0 in enumerate(starts):
-        end = cuts.before(s0 + size_of(k))
-        f = f.when(end, F.lit(k))
-        t = t.when(end, F.lit(s0))
-        tf = tf.when(end, F.lit(k + 1))
-    return df.withColumns({"fold": f.cast("int"), "train_end": t.cast("long"), "train_from": tf.cast("int")})
+    if not starts:
+        none = F.lit(None)
+        return df.withColumns({"fold": none.cast("int"), "train_end": none.cast("long"), "train_from": F.lit(0)})
+    # fold k starts where the one before it ends
+    ends = [s0 + size_of(k) for k, s0 in enumerate(starts)]
+    seg = cuts.segment([starts[0], *ends])  # 0 before the first fold, k + 1 in fold k
+    inside = (seg > 0) & (seg <= len(starts))
+    return df.withColumns({
+        "fold": F.when(inside, seg - 1).cast("int"),
+        "train_end": F.when(inside, F.get(F.array(*[F.lit(s0) for s0 in starts]), seg - 1)).cast("long"),
+        "train_from": F.when(seg <= len(starts), seg).cast("int")})
 
 
 def walk_forward_folds(df: DataFrame, initial_train_size: float = 0.6, test_size: float = 0.1,
@@ -178,25 +189,21 @@ def stratified_folds(df: DataFrame, label: str = "y", k: int = 5,
     """
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
     cuts = Cuts(df, [label, *keys])
-    classes = df.groupBy(label).count()
-    if classes.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"stratified folds need a class label (more than {MAX_CLASSES} values in {label!r})")
-    sizes = sorted((r[0], r[1]) for r in classes.collect())  # one row per class, <= MAX_CLASSES
+    sizes = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
 
     def cnt(m: int, i: int) -> int:  # #{j in [0, m): j mod k == i}
         return max(0, (m - i + k - 1) // k)
 
-    bounds = []
+    ends, folds = [], []
     a = 0
-    for cls, nc in sizes:
+    for _, nc in sizes:
         b, cum = a + nc, 0
         for i in range(k):
             cum += cnt(b, i) - cnt(a, i)
-            bounds.append((cls, a + cum, i))
+            ends.append(a + cum)
+            folds.append(i)
         a = b
-    cuts.fetch([p for _, p, _ in bounds])
-    e = None
-    for cls, pos, i in bounds:
-        cond = (F.col(label) == F.lit(cls)) & cuts.before(pos)
-        e = F.when(cond, F.lit(i)) if e is None else e.when(cond, F.lit(i))
-    return df.withColumn("fold", e.cast("int"))
+    if not ends:
+        return df.withColumn("fold", F.lit(None).cast("int"))
+    fold = F.get(F.array(*[F.lit(i) for i in folds]), cuts.segment(ends))
+    return df.withColumn("fold", fold.cast("int"))

@@ -44,19 +44,10 @@ def full_window(agg: Column, x: Column, w: WindowSpec, n: int) -> Column:
     return F.when(F.count(x).over(w) == n, agg)
 
 
-# a series longer than this is windowed in row buckets under strategy="auto"
-MAX_SERIES_ROWS = 2_000_000
 # rows per bucket in the bucketed strategy (must exceed every frame's reach)
 BUCKET_ROWS = 100_000
 
 
-def choose_strategy(df: DataFrame, key: str = KEY, max_rows: int = MAX_SERIES_ROWS) -> str:
-    """"bucketed" when the largest series exceeds ``max_rows`` rows, else
-    "series" -- one small aggregation (a count per key, map-side combined)."""
-    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return "bucketed" if longest and longest > max_rows else "series"
-
-
 def series_frame(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Column]],
                  key: str = KEY, time: str = TIME, back: int = 0, fwd: int = 0,
                  strategy: str = "series", bucket_rows: int | None = None) -> DataFrame:
@@ -66,10 +57,8 @@ def series_frame(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Column
     holds at most one row per day).  ``strategy="bucketed"``: split every
     series into row buckets with ``back``/``fwd`` halo rows copied from the
     neighbours (needed when one series is a large share of all rows).
-    ``strategy="auto"`` picks one with ``choose_strategy``.
+    Both give the same rows.
     """
-    if strategy == "auto":
-        strategy = choose_strategy(df, key)
     if strategy == "series":
         return df.withColumns(builder(series_window(key, time)))
     if strategy == "bucketed":

@@ -109,13 +109,6 @@ def players_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many short series -- daily sum of event values per user."""
-    e = read_table(spark, sf_dir, "events")
-    return (e.groupBy(F.col("user_id").alias("series_key"), F.col("ts").cast("date").alias("time"))
-            .agg(F.sum("value").alias("precipitation_sum"), F.count(F.lit(1)).alias("n_events")))
-
-
 def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One long series -- order value per order date."""
     o = read_table(spark, sf_dir, "orders")
@@ -124,13 +117,3 @@ def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("series_key", F.lit(0).cast("bigint")))
 
 
-def doc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second, small scored table: labels joined to document length."""
-    lab = read_table(spark, sf_dir, "labels")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    j = lab.join(docs, "doc_id")
-    return j.select(
-        F.col("doc_id").alias("player_id"),
-        F.col("quality").cast("int").alias("y"),
-        (F.least(F.col("n_chars"), F.lit(20000)) / 20000.0).cast("double").alias("p"),
-    )

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from dailyseries.operators.windows import KEY, TIME, series_window
+from dailyseries.plans.ranking import join_groups
 
 
 def halo_bounds(df: DataFrame, start: str, end: str, back: int, fwd: int,
@@ -31,7 +32,8 @@ def halo_bounds(df: DataFrame, start: str, end: str, back: int, fwd: int,
     hi = (narrow.where(F.col(time) > e)
           .withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.col(time).asc())))
           .where(F.col("_r") <= fwd).groupBy(key).agg(F.max(time).alias("_hi")))
-    return lo.join(hi, key, "full")
+    both = lo.unionByName(hi, allowMissingColumns=True)
+    return both.groupBy(key).agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
 
 
 def window_for_range(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Column]], start: str, end: str,
@@ -39,7 +41,10 @@ def window_for_range(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Co
     """Rows of [start, end] with ``builder``'s window columns, exactly as on the full history."""
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
     bounds = halo_bounds(df, start, end, back, fwd, key, time)  # one row per series
-    j = df.join(bounds, key, "left")
+    first, last = bounds.agg(F.min("_lo"), F.max("_hi")).first()
+    # the outermost dates are literals, so they reach the scan below
+    df = df.where((F.col(time) >= (F.lit(first) if first else s)) & (F.col(time) <= (F.lit(last) if last else e)))
+    j = join_groups(df, bounds, [key], "left")
     lo = F.coalesce(F.col("_lo"), s)
     hi = F.coalesce(F.col("_hi"), e)
     cut = j.where((F.col(time) >= lo) & (F.col(time) <= hi)).drop("_lo", "_hi")

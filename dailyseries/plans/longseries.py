@@ -11,7 +11,8 @@ sees exactly the rows it would see in one giant partition.  Frames over
 the whole partition (unbounded) are not allowed in this mode.
 
 Row positions come from the distributed ``global_row_number`` over
-(key, time); the per-series start is one small aggregate.
+(key, time); the per-series start is one small aggregate.  Rows with a null
+key are one series, as in the plain window.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from dailyseries.plans.ranking import global_row_number
+from dailyseries.plans.ranking import global_row_number, join_groups
 
 
 def bucketed_series_frame(df: DataFrame, builder: Callable[[WindowSpec], dict[str, Column]],
@@ -31,7 +32,7 @@ def bucketed_series_frame(df: DataFrame, builder: Callable[[WindowSpec], dict[st
     ranked, _ = global_row_number(df, [key, time], name="_grn")
     starts = ranked.groupBy(key).agg(F.min("_grn").alias("_start"))  # one row per series
     pos = F.col("_grn") - F.col("_start")
-    r = ranked.join(starts, key).withColumn("_pos", pos).withColumn("_b", F.floor(F.col("_pos") / bucket_rows))
+    r = join_groups(ranked, starts, [key]).withColumn("_pos", pos).withColumn("_b", F.floor(F.col("_pos") / bucket_rows))
     off = F.col("_pos") % bucket_rows
     copies = F.array(
         F.struct(F.col("_b").alias("_bucket"), F.lit(True).alias("_own")),

@@ -69,19 +69,10 @@ SELECT p_partkey AS player_id, CAST(1990 + p_size AS INTEGER) AS year, p_retailp
   CAST(CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS drafted
 FROM part"""
 
-EVENTS_DAILY_SQL = """
-SELECT user_id AS series_key, CAST(ts AS DATE) AS time, sum(value) AS precipitation_sum,
-  count(*) AS n_events FROM events GROUP BY 1, 2"""
-
 ORDERS_DAILY_SQL = """
 SELECT CAST(o_orderdate AS DATE) AS time, sum(o_totalprice) / 1000.0 AS value,
   count(*) AS n_orders, CAST(0 AS BIGINT) AS series_key FROM orders GROUP BY 1"""
 
-DOC_SCORES_SQL = """
-SELECT l.doc_id AS player_id, CAST(l.quality AS INTEGER) AS y,
-  CAST(least(d.n_chars, 20000) / 20000.0 AS DOUBLE) AS p
-FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
-
 HEIGHT_SQL = """CASE
   WHEN regexp_matches(trim(ht), '^\\s*(\\d+)''\\s*(\\d{1,2})''''\\s*$') THEN
     CASE WHEN TRY_CAST(regexp_extract(trim(ht), '^\\s*(\\d+)''\\s*(\\d{1,2})''''\\s*$', 2) AS DOUBLE) <= 11

@@ -18,7 +18,6 @@ back), and one-hot categories are fitted on training rows only.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -32,8 +31,6 @@ from dailyseries.operators import windows as win
 from dailyseries.operators.windows import KEY, TIME
 
 
-# wide feature rows are ~1.2 KB: 50k rows is a ~60 MB cached partition
-ROWS_PER_PARTITION = 50_000
 # the cached feature frame lives on executor disk, never pinned in the heap
 PERSIST_LEVEL = StorageLevel.DISK_ONLY
 # keep the daily input too, so the raw table is scanned once per pipeline
@@ -45,12 +42,10 @@ def build_features(dw: DataFrame, task: str = "regression", target_name: str | N
                    key: str = KEY, time: str = TIME, strategy: str = "series") -> tuple[DataFrame, str]:
     """Stages up to (not including) one-hot; returns (frame, target name).
 
-    ``strategy`` as in ``windows.series_frame``; "auto" checks the longest
-    series once and windows very long ones in row buckets."""
+    ``strategy`` as in ``windows.series_frame``.  A daily series has one row
+    per calendar day, which bounds its length; "bucketed" is for finer grains."""
     if task not in ("regression", "classification"):
         raise ValueError("task_type must be 'regression' or 'classification'")
-    if strategy == "auto":
-        strategy = win.choose_strategy(dw, key)
     target = target_name or ("precip_3day_next" if task == "regression" else "target_rain")
     if task == "regression":
         df = win.regression_target(dw, name=target, key=key, time=time, strategy=strategy)
@@ -79,7 +74,8 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
                      keep_columns: Sequence[str] | None = None, leak_safe: bool = True,
                      train_ratio: float = 0.7, val_ratio: float = 0.15, impute_strategy: str = "mean",
                      scale_method: str = "standard", key: str = KEY, time: str = TIME,
-                     persist: bool = True, strategy: str = "auto") -> tuple[DataFrame, list[str], str]:
+                     persist: bool = True, strategy: str = "series",
+                     persisted: list[DataFrame] | None = None) -> tuple[DataFrame, list[str], str]:
     """Returns (table with split/target/features, feature names, target name).
 
     The window stage is persisted (to executor disk: a wide feature frame
@@ -87,26 +83,22 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     there between queries) before the fit jobs -- the one-hot categories
     and the impute/scale statistics -- read it; a lost block is recomputed
     from lineage.
-    Release it with ``spark.catalog.clearCache()`` or ``unpersist`` on the
-    frame's source when done.
+    Frames that were persisted are appended to ``persisted``, for the caller
+    to ``unpersist`` when done.
     """
+    handles = persisted if persisted is not None else []
     if persist and PERSIST_INPUT:
-        # the daily input is read by the strategy check, the split ranking and
-        # the window stage: keep it (on disk) so the raw scan and the daily
-        # pre-aggregation run once, not three times; one partition per core
-        # (a cached plan keeps the shuffle's partition count otherwise)
-        dw = dw.coalesce(dw.sparkSession.sparkContext.defaultParallelism).persist(PERSIST_LEVEL)
+        # the split ranking and the window stage read the daily input: keep it
+        # (on disk) so the raw scan and the daily pre-aggregation run once;
+        # AQE sizes the partitions of the cached plan
+        dw = dw.persist(PERSIST_LEVEL)
+        handles.append(dw)
     df, target = build_features(dw, task, target_name, keep_columns, leak_safe, key, time, strategy)
     # the split's narrow ranking pass (key, time only) also gives the row count
     cuts = spl.Cuts(df, (time, key))
     if persist:
-        # size the cached frame to the data (a cached plan keeps the shuffle's
-        # partition count otherwise, e.g. 200 partitions for a few rows)
-        # (never below the cluster's parallelism: coalesce also sets the
-        # task count of the window stage that feeds the cache)
-        parallel = df.sparkSession.sparkContext.defaultParallelism
-        parts = max(parallel, math.ceil(cuts.n / ROWS_PER_PARTITION))
-        df = df.coalesce(parts).persist(PERSIST_LEVEL)
+        df = df.persist(PERSIST_LEVEL)
+        handles.append(df)
     cats = [c for c in ("weather_code", "season") if c in df.columns]
     if leak_safe:
         df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time, cuts=cuts)

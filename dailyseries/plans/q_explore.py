@@ -226,7 +226,7 @@ GROUP BY r.series_key, h.lag""", s=o.ORDERS_DAILY_SQL,
 def q_autocorrelation(spark, sf):
     """Autocorrelation at lags 1..60 of one long series (orders per day),
     computed on 500-row buckets with a 60-row halo (X3)."""
-    return ex.autocorrelation(fx.orders_daily(spark, sf), "value", 60, strategy="bucketed")
+    return ex.autocorrelation(fx.orders_daily(spark, sf), "value", 60, strategy="bucketed", bucket_rows=500)
 
 
 @query("lag_pairs", o.with_ctes(
@@ -259,9 +259,12 @@ def q_extreme_rows(spark, sf):
     return ex.extreme_rows(_target(spark, sf), "precip_3day_next").select("series_key", "time", "precip_3day_next")
 
 
-@query("sample_rows")
+@query("sample_rows", o.with_ctes(
+    "SELECT series_key, time, precip_3day_next FROM t "
+    "ORDER BY md5(concat_ws('|', CAST(series_key AS VARCHAR), CAST(time AS VARCHAR), '42')), series_key, time LIMIT 12000",
+    daily_weather=DW, t=TARGET_SQL))
 def q_sample_rows(spark, sf):
-    """Seeded sample of 12 000 rows (sampling is the feature; rows-only check)."""
+    """Seeded sample of 12 000 rows (sampling is the feature)."""
     return ex.sample_rows(_target(spark, sf).select("series_key", "time", "precip_3day_next"), 12000)
 
 

@@ -68,7 +68,7 @@ def q_topk_refit(spark, sf):
     """M6: refit the 2 best grid points with early stopping; val AUC and % zeros."""
     data, feats, y = _train_folds(spark, sf)
     grid = {"learning_rate": [0.05, 0.1], "num_leaves": [8, 16], "n_estimators": [8]}
-    table, ranked, _ = md.grid_search(data, feats, y, "fold", grid, top_k=2)
+    table, ranked, _ = md.grid_search(data, feats, y, "fold", grid)
     df, _, _ = _cls_table(spark, sf)
     fits = md.fit_many(df, feats, y, ranked[:2], max_iter=8, patience=3)
     ev = md.evaluate_models(df, {str(i + 1): m for i, (m, _) in enumerate(fits)}, y)

@@ -19,6 +19,8 @@ the work spread over the cluster:
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -27,11 +29,13 @@ from pyspark.sql import functions as F
 from dailyseries.session import checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id << 33 | position
-MAP_OFFSETS = 1000  # up to this many partitions the offsets are a literal map
+BUCKET_VALUES = 500_000  # distinct values per bucket of a running sum
+MIN_BUCKETS = 8
 
 
-def default_buckets(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+def default_buckets(rows: int) -> int:
+    """Buckets by the number of distinct values, not by a cluster setting."""
+    return max(MIN_BUCKETS, -(-rows // BUCKET_VALUES))
 
 
 def value_buckets(df: DataFrame, col: str, buckets: int, by: Sequence[str] = (),
@@ -47,7 +51,6 @@ def value_buckets(df: DataFrame, col: str, buckets: int, by: Sequence[str] = (),
         src = df.withColumn(col, F.col(col).cast("double")) if dict(df.dtypes)[col] != "double" else df
         return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(src)
     # per-group bounds: one grouped percentile_approx (B values per group)
-    probs = [i / min(buckets, 64) for i in range(1, min(buckets, 64))]
     bounds = df.groupBy(*by).agg(F.percentile_approx(F.col(col).cast("double"), probs, 1000)
                                   .alias("_bounds"))
     j = join_groups(df, bounds, by)
@@ -61,9 +64,14 @@ def running_sum(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     """Add ``{c}{suffix}`` = sum of ``c`` over rows of the same ``by`` group
     with a smaller ``order_col`` (exclusive), and ``_prev_{c}`` = the value
     of ``c`` on the previous row in that order for each ``prev_cols``.
-    ``(by, order_col)`` must be unique (aggregate first)."""
+    ``(by, order_col)`` must be unique (aggregate first).
+
+    ``df`` is checkpointed once: the bounds, the bucket totals and the windows
+    all read it.  A null group is a group like any other."""
     by = list(by)
-    b = value_buckets(df, order_col, buckets or default_buckets(df), by)
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    b = value_buckets(df, order_col, buckets or default_buckets(df.count()), by)
     per_bucket = [F.sum(c).alias(c) for c in sum_cols]
     if prev_cols:
         per_bucket.append(F.max_by(F.struct(*prev_cols), F.col(order_col)).alias("_last"))
@@ -80,7 +88,7 @@ def running_sum(df: DataFrame, order_col: str, sum_cols: Sequence[str], by: Sequ
     add.update({f"_lag_{c}": F.lag(c, 1).over(wo) for c in prev_cols})
     add["_first"] = F.row_number().over(wo) == 1
     within = b.withColumns(add)
-    j = within.join(off, [*by, "_bkt"])
+    j = join_groups(within, off, [*by, "_bkt"])
     outs = [(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"{c}{suffix}") for c in sum_cols]
     outs += [F.when(F.col("_first"), F.col(f"_prev_last.{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"_prev_{c}")
              for c in prev_cols]
@@ -113,7 +121,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Iterable[float], by: Sequenc
     long_t = long_t.select(*by, "_qi", "q", "_pos", "_lo", "t.side", "t.k")
     if not by:
         long_t = F.broadcast(long_t)  # 2 * len(probs) rows: a proven bound
-    cond = [long_t[c] == cum[c] for c in by] + [
+    cum = cum.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_v", "_c", "_c_before")
+    cond = [long_t[c].eqNullSafe(cum[f"_by_{c}"]) for c in by] + [
         cum["_c_before"] <= long_t["k"], long_t["k"] < cum["_c_before"] + cum["_c"]]
     hit = long_t.join(cum, cond).select(*[long_t[c] for c in by], "_qi", "q", "_pos", "_lo", "side", "_v")
     piv = hit.groupBy(*by, "_qi", "q", "_pos", "_lo").agg(
@@ -138,8 +147,8 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "rn"
     window.  Returns (ranked frame, row count).
 
     Range partitioning spreads the rows, each task numbers its own sorted
-    partition, and a per-partition offset (one small count per partition,
-    applied as a literal map) makes the numbers global.  The ranked frame
+    partition, and a per-partition offset (a table of one row per partition)
+    makes the numbers global.  The ranked frame
     is checkpointed to the shared folder first, so partition contents and
     positions cannot change between counting and use (retries, lost
     executors).  Ties in ``order_cols`` get an arbitrary but fixed order;
@@ -159,11 +168,6 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "rn"
         offsets.append((p, total))
         total += c
     local = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1
-    if len(offsets) <= MAP_OFFSETS:
-        off = (F.create_map(*[F.lit(x) for pair in offsets for x in pair]) if offsets
-               else F.create_map().cast("map<bigint,bigint>"))
-        return ranked_select(ranged, df.columns, F.element_at(off, pid) + local, name), total
-    # many partitions: the offset table (one row per partition) is broadcast
     table = spark.createDataFrame(offsets, "_pid bigint, _off bigint")
     j = ranged.withColumn("_pid", pid).join(F.broadcast(table), "_pid")
     return ranked_select(j, df.columns, F.col("_off") + local, name), total
@@ -173,13 +177,15 @@ def ranked_select(df: DataFrame, columns: Sequence[str], rn, name: str) -> DataF
     return df.select(*columns, rn.alias(name))
 
 
-def join_groups(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+def join_groups(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Attach per-group results ``b`` (one row per ``by`` group) to ``a``.
 
     Without group columns ``b`` is a single aggregate row: it becomes one
     scalar subquery (computed once, used as a constant), not a join."""
     by = list(by)
-    if by:
-        return a.join(b, by)
+    if by:  # null-safe: a null group keeps its rows, as in GROUP BY
+        b = b.select(*[F.col(c).alias(f"_by_{c}") if c in by else F.col(c) for c in b.columns])
+        same = reduce(and_, [a[c].eqNullSafe(b[f"_by_{c}"]) for c in by])
+        return a.join(b, same, how).drop(*[f"_by_{c}" for c in by])
     s = b.select(F.struct(*b.columns).alias("_s")).scalar()
     return a.withColumn("_s", s).select(*a.columns, *[F.col(f"_s.{c}").alias(c) for c in b.columns])

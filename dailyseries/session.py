@@ -2,8 +2,8 @@
 
 The cluster names its shared folder in ``spark.checkpoint.dir``; operators
 that must cut lineage (distributed ranking, file round trips) write below
-it.  Only when nothing is configured (local tests) do we pick a folder of
-our own.
+it.  Only on a local master with nothing configured (tests) do we pick a
+folder of our own.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the feature frame has about 150 columns; code generation stops at 100 by default
+    "spark.sql.codegen.maxFields": "500",
     # ranked frames are checkpointed; drop their files once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="dailyseries-ckpt-")
     sc.setCheckpointDir(d)
     # setCheckpointDir appends a unique sub-folder; report what Spark uses

@@ -38,12 +38,13 @@ def _list(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
 
 
 def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] = (),
-                   na_values: Sequence[str] = PANDAS_NA, multi_line: bool = False) -> DataFrame:
+                   na_values: Sequence[str] = PANDAS_NA, multi_line: bool = True) -> DataFrame:
     """Read a headed latin-1 CSV as text, null the NA tokens, then give each
-    column the narrowest of bigint / double / string in ONE aggregation.
+    column the narrowest of boolean / bigint / double / string in ONE aggregation.
 
-    ``multi_line=True`` accepts newlines inside quoted fields, at the price
-    of reading each file in one task; the default keeps files splittable."""
+    Newlines inside quoted fields are read right, at the price of reading each
+    file in one task; ``multi_line=False`` keeps files splittable where no
+    field holds a newline."""
     raw = (spark.read.option("header", True).option("encoding", "ISO-8859-1").option("multiLine", multi_line)
            .option("inferSchema", False).option("escape", '"').csv(path))
     na = F.array(*[F.lit(v) for v in na_values])
@@ -55,14 +56,19 @@ def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] =
         row = clean.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("bigint").isNull()).alias(f"i_{c}")
                           for c in cand],
                         *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(f"d_{c}")
-                          for c in cand]).first()
+                          for c in cand],
+                        *[F.count_if(F.col(c).isNotNull() & ~F.lower(c).isin("true", "false")).alias(f"b_{c}")
+                          for c in cand], *[F.count(c).alias(f"n_{c}") for c in cand]).first()
         for c in cand:
+            if row[f"n_{c}"] and not row[f"b_{c}"]:
+                kinds[c] = "boolean"
+                continue
             kinds[c] = "bigint" if row[f"i_{c}"] == 0 else ("double" if row[f"d_{c}"] == 0 else "string")
     return clean.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in clean.columns])
 
 
 def scan_csv_folder(spark: SparkSession, folder: str, height_column: str = "ht",
-                    multi_line: bool = False) -> dict[str, DataFrame]:
+                    multi_line: bool = True) -> dict[str, DataFrame]:
     """All ``*.csv`` datasets of a folder; missing folder -> FileNotFoundError."""
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"Data folder not found: {folder}")
@@ -119,7 +125,8 @@ def payload_schema(measures: Sequence[tuple[str, str]]) -> StructType:
     types = {"int": IntegerType(), "double": DoubleType(), "bigint": LongType()}
     daily = StructType([StructField("time", ArrayType(StringType()))]
                        + [StructField(m, ArrayType(types[t])) for m, t in measures])
-    return StructType([StructField("series_key", LongType()), StructField("daily", daily)])
+    return StructType([StructField("series_key", LongType()), StructField("latitude", DoubleType()),
+                       StructField("longitude", DoubleType()), StructField("daily", daily)])
 
 
 def write_daily_payload(df: DataFrame, path: str, key: str = "series_key", time: str = "time") -> list[tuple[str, str]]:
@@ -141,10 +148,16 @@ def _field(name: str):
 
 
 def ingest_daily_payload(spark: SparkSession, path: str, measures: Sequence[tuple[str, str]],
-                         start: str | None = None, end: str | None = None) -> DataFrame:
+                         start: str | None = None, end: str | None = None,
+                         multi_line: bool = False) -> DataFrame:
     """Payload documents -> one row per day (``inline(arrays_zip)``),
-    ``time`` to date, optional inclusive date range."""
-    docs = spark.read.schema(payload_schema(measures)).json(path)
+    ``time`` to date, optional inclusive date range.
+
+    A document without ``series_key``, as the weather service sends it, is
+    keyed by a hash of its latitude and longitude.  ``multi_line=True`` reads
+    files that hold one document laid out over many lines."""
+    docs = spark.read.schema(payload_schema(measures)).option("multiLine", multi_line).json(path)
+    docs = docs.withColumn("series_key", F.coalesce("series_key", F.xxhash64("latitude", "longitude")))
     names = ["time"] + [m for m, _ in measures]
     rows = docs.select("series_key", F.inline(F.arrays_zip(*[F.col(f"daily.{n}") for n in names])))
     out = rows.withColumn("time", F.to_date("time"))

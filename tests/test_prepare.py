@@ -61,3 +61,18 @@ def test_inf_to_null(spark):
 def test_scale_rejects_unknown_method(spark):
     with pytest.raises(ValueError):
         prep.fit_scale(table(spark), ["x"], "robust")
+
+
+def test_one_hot_keeps_types_and_skips_nan(spark):
+    df = spark.createDataFrame([(1.5, "b", 3), (float("nan"), "a", 4), (None, None, None), (2.0, "1e5", 3)],
+                               "d double, s string, i int")
+    assert prep.fit_one_hot(df, ["d", "s", "i"]) == {"d": [1.5, 2.0], "s": ["1e5", "a", "b"], "i": [3, 4]}
+    assert prep.one_hot(df, ["d"]).columns == ["s", "i", "d_1.5", "d_2.0"]
+
+
+def test_one_hot_vector_takes_many_categories(spark):
+    df = spark.createDataFrame([(i, "train" if i < 1500 else "test") for i in range(1600)] + [(None, "train")],
+                               "c int, split string")
+    got = prep.one_hot_vector(df, "c", "v").collect()
+    assert {len(r.v) for r in got} == {1500}
+    assert all(r.v.numNonzeros() == (r.c is not None and r.c < 1500) for r in got)

@@ -18,10 +18,8 @@ def test_global_row_number_matches_window(spark):
     assert bad == 0
 
 
-@pytest.mark.parametrize("parts,map_limit", [(64, 1000), (64, 4)])
-def test_global_row_number_many_partitions(spark, monkeypatch, parts, map_limit):
-    import dailyseries.plans.ranking as rk
-    monkeypatch.setattr(rk, "MAP_OFFSETS", map_limit)  # literal map, then broadcast table
+@pytest.mark.parametrize("parts", [1, 64])
+def test_global_row_number_many_partitions(spark, parts):
     rng = np.random.default_rng(3)
     df = spark.createDataFrame([(int(v), i) for i, v in enumerate(rng.integers(0, 10_000, 3000))], "v long, i long")
     ranked, n = global_row_number(df, ["v", "i"], partitions=parts)
@@ -107,3 +105,30 @@ def test_train_from_selects_expanding_windows(spark):
     assert wf.where(F.col("train_from").isNull()).count() == 0  # 60 + 4 * 10 = 100 rows all used
     ts = spl.time_series_folds(_series(spark, 101), 5)  # 101 // 6 = 16; tests start at 21
     assert [ts.where(F.col("train_from") <= k).count() for k in range(5)] == [21, 37, 53, 69, 85]
+
+
+@pytest.mark.parametrize("rows", [[(1, 5), (2, 5), (1, 5)], [(1, 5), (None, 6)], [(1, None), (2, 3)]])
+def test_splits_reject_ties_and_nulls(spark, rows):
+    df = spark.createDataFrame(rows, "k long, t long")
+    with pytest.raises(ValueError, match="unique and not null"):
+        spl.chrono_split(df, order_cols=("t", "k"))
+    with pytest.raises(ValueError, match="unique and not null"):
+        spl.kfold(df, 2, order_cols=("t", "k"))
+
+
+def test_splits_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "k long, t long")
+    assert spl.chrono_split(df, order_cols=("t", "k")).collect() == []
+
+
+def test_folds_have_no_cap(spark):
+    df = spark.createDataFrame([(0, i) for i in range(3000)], "k long, t long")
+    got = {r["t"]: r["fold"] for r in spl.kfold(df, 1500, order_cols=("t", "k")).collect()}
+    assert got == {i: i // 2 for i in range(3000)}
+
+
+def test_null_groups_are_groups(spark):
+    rows = [(None, float(v)) for v in range(11)] + [(1, float(v)) for v in range(0, 22, 2)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "v", [0.5, 1.0], ["g"]).collect()}
+    assert got == {(None, 0.5): 5.0, (None, 1.0): 10.0, (1, 0.5): 10.0, (1, 1.0): 20.0}

@@ -76,3 +76,52 @@ def test_scale_conf_from_input_size(spark):
     assert int(conf["spark.sql.shuffle.partitions"]) == 2 * cores  # tiny input: the core floor
     big = scale_conf(spark, paths, bytes_per_partition=1 << 10, apply=False)
     assert int(big["spark.sql.shuffle.partitions"]) > 2 * cores
+
+
+def test_model_round_trip_and_error_before_training(spark, tmp_path):
+    from dailyseries.operators import models as md
+    with pytest.raises(ValueError, match="no trained model"):
+        md.save_model(None, str(tmp_path / "m"))
+    df = spark.createDataFrame([(float(i % 7), float(i), i % 2, "train") for i in range(60)],
+                               "a double, b double, y int, split string")
+    m = md.train_random_forest(df, ["a", "b"], "y", num_trees=3, max_depth=2)
+    md.save_model(m, str(tmp_path / "m"))
+    same = md.load_model(str(tmp_path / "m"))
+    assert [r.p for r in md.score(m, df).collect()] == [r.p for r in md.score(same, df).collect()]
+
+
+def test_parameters_are_mapped_or_reported(spark):
+    from dailyseries.operators import models as md
+    with pytest.raises(ValueError, match="unknown model parameter"):
+        md.spark_params({"no_such": 1})
+    with pytest.warns(UserWarning, match="reg_alpha"):
+        assert md.spark_params({"reg_alpha": 1, "max_depth": 4}) == {"maxDepth": 4}
+    space = {f"p{i}": list(range(20)) for i in range(12)}  # 20 ** 12 points, never listed
+    draws = md.sample_params(space, 30)
+    assert len({tuple(d.items()) for d in draws}) == 30 and draws == md.sample_params(space, 30)
+
+
+def test_csv_quoted_newlines_and_booleans(spark, tmp_path):
+    from dailyseries.sources.files import read_csv_typed
+    (tmp_path / "x.csv").write_text('player_id,name,ok\n1,"a\nb",true\n2,c,FALSE\n3,d,\n')
+    rows = read_csv_typed(spark, str(tmp_path / "x.csv")).orderBy("player_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "a\nb", True), (2, "c", False), (3, "d", None)]
+
+
+def test_service_payload_is_keyed_by_place(spark, tmp_path):
+    from dailyseries.sources.files import ingest_daily_payload
+    for n, lat in enumerate((1.5, 2.5)):
+        (tmp_path / f"{n}.json").write_text('{\n "latitude": %s,\n "longitude": 3.0,\n "timezone": "UTC",\n "daily": '
+                                            '{"time": ["2020-01-01", "2020-01-02"],\n "rain_sum": [1.0, null]}\n}\n' % lat)
+    rows = ingest_daily_payload(spark, str(tmp_path), [("rain_sum", "double")], multi_line=True).collect()
+    assert len(rows) == 4 and len({r.series_key for r in rows}) == 2
+
+
+def test_shared_folder_is_required_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from dailyseries import session
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(fake)

@@ -169,3 +169,28 @@ def test_leak_safe_features_ignore_the_future(spark, task):
         x = pa2.where(past).select("series_key", "time", "lag1").orderBy("series_key", "time").toPandas()
         y = pb2.where(past).select("series_key", "time", "lag1").orderBy("series_key", "time").toPandas()
         assert not np.allclose(x["lag1"].astype(float), y["lag1"].astype(float), equal_nan=True)
+
+
+def test_bucketed_windows_equal_plain_ones_on_null_keys_and_gaps(spark):
+    rows = []
+    for key in (1, None):
+        d = dt.date(2001, 1, 1)
+        for i in range(70):
+            rows.append((key, d, float(i * i % 17)))
+            d += dt.timedelta(days=1 + i % 4)
+    df = spark.createDataFrame(rows, "series_key bigint, time date, precipitation_sum double")
+
+    def build(w):
+        return {**win.rolling_precip_cols(w, windows=(3, 7)), "next": F.lead("precipitation_sum", 2).over(w)}
+
+    a = win.series_frame(df, build, back=6, fwd=2)
+    b = win.series_frame(df, build, back=6, fwd=2, strategy="bucketed", bucket_rows=9)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 140
+
+
+def test_halo_keeps_null_series(spark):
+    from dailyseries.plans.halo import window_for_range
+    rows = [(None, dt.date(2000, 1, i), 1.0) for i in range(1, 11)]
+    df = spark.createDataFrame(rows, "series_key bigint, time date, x double")
+    out = window_for_range(df, lambda w: {"s": F.sum("x").over(win.trailing(w, 3))}, "2000-01-05", "2000-01-06", back=2)
+    assert [r.s for r in out.orderBy("time").collect()] == [3.0, 3.0]
