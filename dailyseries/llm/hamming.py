@@ -121,10 +121,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, column: str =
 
 
 ORACLE = f"""
-with c as (select vec_id, [coalesce(embedding[i] >= 0, false) for i in range(1, {DIMS + 1})] as b
+with c as (select vec_id, array_to_string([case when embedding[i] >= 0 then '1' else '0' end for i in range(1, {DIMS + 1})], '')::bit as b
   from embeddings where vec_id is not null and embedding is not null),
-p as (select q.vec_id as query_id, c.vec_id,
-    list_sum([case when q.b[i] <> c.b[i] then 1 else 0 end for i in range(1, {DIMS + 1})]) as distance
+p as (select q.vec_id as query_id, c.vec_id, bit_count(xor(q.b, c.b)) as distance
   from c q join c on q.vec_id <> c.vec_id where q.vec_id % {QUERY_STEP} = 0),
 r as (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from p)
 select query_id, cast(rank as bigint) as rank, vec_id, cast(distance as bigint) as distance

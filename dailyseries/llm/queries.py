@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailyseries.llm import (decontam, hamming, langid, line_dedup, minhash, mixing, pii, suffix_dedup, token_counts,
-                             warc)
+from dailyseries.llm import (decontam, hamming, langid, line_dedup, minhash, mixing, oracles, pii, suffix_dedup,
+                             token_counts, warc)
 from dailyseries.llm.common import table
 
 
@@ -62,8 +62,11 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE = {
     "op2_warc": warc.ORACLE,
+    "op3_pii": oracles.PII,
     "op5_hamming_top_k": hamming.ORACLE,
     "op6_mixing": mixing.oracle("documents", "doc_id, source"),
+    "op7_minhash": oracles.MINHASH,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op10_decontamination": decontam.ORACLE,
 }

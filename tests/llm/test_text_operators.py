@@ -158,6 +158,20 @@ def test_disclosing_terms_match_brute_force(spark, monkeypatch, shipped):
     assert found == want and any(i == 310 for i, _, _ in found) and not any(i == 311 for i, _, _ in found)
 
 
+def test_spans_match_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from dailyseries.llm.oracles import PII
+
+    rows = secret_rows() + [(1000 + i, t) for i, t in enumerate(PII_TEXTS)]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    rel = duckdb.connect().execute(PII)
+    names = [d[0] for d in rel.description]
+    got = [tuple(r[c] for c in names) for r in pii.digest_columns(pii.report(frame(spark, rows))).collect()]
+    assert sorted(got) == sorted(rel.fetchall()) and sum(r[names.index("n_term")] for r in got) > 4
+
+
 def test_sanitize(spark):
     rows = secret_rows() + [(400, None), (401, ""), (402, "plain"), (403, "+1 (386) 555-3733")]
     out = pii.sanitize(frame(spark, rows))
