@@ -315,19 +315,21 @@ def q_log1p_columns(spark, sf):
 SELECT series_key, time, label, CAST(len(seq) AS INTEGER) AS seq_len,
   {o.r('list_sum(list_transform(seq, lambda s: s.precipitation_sum))')} AS seq_precip_sum,
   {o.r('list_sum(list_transform(seq, lambda s: s.temperature_2m_max))')} AS seq_temp_sum,
-  {o.r('seq[1].precipitation_sum')} AS seq_first_precip
+  {', '.join(f"{o.r(f'seq[{i}].precipitation_sum')} AS precip_{i}, {o.r(f'seq[{i}].temperature_2m_max')} AS temp_{i}"
+             for i in range(1, 8))}
 FROM (SELECT series_key, time, CAST(coalesce(CAST(rain_sum > 0.1 AS INTEGER), 0) AS INTEGER) AS label,
         list(struct_pack(precipitation_sum := precipitation_sum, temperature_2m_max := temperature_2m_max))
         {rows_between(-7, -1)} AS seq FROM daily_weather) t
 WHERE len(seq) = 7""", daily_weather=DW_FULL))
 def q_sequences(spark, sf):
-    """The 7 previous rows as a sequence with today's label (summarised)."""
+    """The 7 previous rows as a sequence with today's label, position by position."""
     dw = fx.daily_weather(spark, sf).withColumn("label", win.threshold_flag(F.col("rain_sum"), 0.1))
     s = win.sequences(dw, ["precipitation_sum", "temperature_2m_max"], "label", 7)
     return s.select("series_key", "time", "label", F.size("sequence").alias("seq_len"),
                     F.aggregate("sequence", F.lit(0.0), lambda a, e: a + e["precipitation_sum"]).alias("seq_precip_sum"),
                     F.aggregate("sequence", F.lit(0.0), lambda a, e: a + e["temperature_2m_max"]).alias("seq_temp_sum"),
-                    F.col("sequence")[0]["precipitation_sum"].alias("seq_first_precip"))
+                    *[F.col("sequence")[i - 1]["precipitation_sum"].alias(f"precip_{i}") for i in range(1, 8)],
+                    *[F.col("sequence")[i - 1]["temperature_2m_max"].alias(f"temp_{i}") for i in range(1, 8)])
 
 
 # ------------------------------------------------------------------ F1, P2-P4, P10, P14

@@ -13,6 +13,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+EXACT: dict[str, QueryFn] = {}  # the same queries with unrounded doubles
 
 
 def query(name: str, sql: str | None = None, rounded: bool = True):
@@ -29,6 +30,7 @@ def query(name: str, sql: str | None = None, rounded: bool = True):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        EXACT[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
