@@ -109,6 +109,18 @@ def entity(kind: Column, hit: Column) -> Column:
                        .otherwise(_digits(hit)))
 
 
+def _entities_of(body: Column, kind: int) -> Column:
+    hits = F.regexp_extract_all(body, F.lit(PATTERNS[KINDS[kind]]), F.lit(0))
+    valid = F.filter(hits, lambda h: _valid(F.lit(kind), h))
+    found = F.transform(valid, lambda h: entity(F.lit(kind), h))
+    return F.when(body.rlike(GUARDS[KINDS[kind]]), found).otherwise(F.array().cast("array<string>"))
+
+
+def _entities(body: Column) -> Column:
+    """The distinct protected entities of a text."""
+    return F.array_distinct(F.concat(*[_entities_of(body, k) for k in range(len(KINDS))]))
+
+
 def _terms(body: Column) -> Column:
     """Distinct lower-case words of a text, its personal data left out."""
     for k in KINDS:
@@ -117,22 +129,21 @@ def _terms(body: Column) -> Column:
     return F.filter(F.array_distinct(words), lambda w: F.char_length(w) >= MIN_TERM)
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, threshold: float = THRESHOLD, remove: float = REMOVE,
+def disclosing_terms(docs: DataFrame, threshold: float = THRESHOLD, remove: float = REMOVE,
                      min_support: int = MIN_SUPPORT) -> DataFrame:
     """(term, strength): terms whose strongest PMI / IC reaches ``threshold``.
 
-    All counts are numbers of documents over the whole table.  Entity counts
-    and pair counts only touch documents with personal data; term counts are
-    combined before the shuffle to one row per term and task.
+    All counts are numbers of rows over the whole table.  Entities and terms
+    of a text meet in its own row, so no text is shuffled; pairs come from
+    texts with personal data only, and term counts are combined before the
+    shuffle to one row per term and task.
     """
     keyed = _keyed(docs)
-    held = base.select("did", "th", entity(F.col("kind"), F.col("hit")).alias("e")).distinct()
-    often = held.groupBy("e").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
-    held = held.join(often, "e").groupBy("did", "th").agg(F.collect_list(F.struct("e", "n_e")).alias("es"))
-    terms = (keyed.join(held.withColumnsRenamed({"did": "h_did", "th": "h_th"}),
-                        (F.col("did") == F.col("h_did")) & (F.col("th") == F.col("h_th")))
-             .select("es", F.explode(_terms(F.col("body"))).alias("term")))
-    pairs = (terms.select("term", F.explode("es").alias("x")).groupBy("term", "x.e", "x.n_e")
+    texts = keyed.select("body", _entities(F.col("body")).alias("es")).where(F.size("es") > 0)
+    texts = materialize(texts.select("es", _terms(F.col("body")).alias("terms")), "pii-texts")
+    each = texts.select("terms", F.explode("es").alias("e"))
+    often = each.groupBy("e").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
+    pairs = (each.join(often, "e").select("e", "n_e", F.explode("terms").alias("term")).groupBy("term", "e", "n_e")
              .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_support))
     pairs = materialize(pairs.select("term", "e", "n_e", "n_te"), "pii-pairs")
     counts = (keyed.select(F.explode(_terms(F.col("body"))).alias("term")).groupBy("term")
@@ -155,14 +166,18 @@ def term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     listed = terms.select("term")
     if terms.count() <= BROADCAST_TERMS:
-        listed = F.broadcast(listed)
-    own = (keyed.select("did", "th", F.explode(_terms(F.col("body"))).alias("term")).join(listed, "term")
-           .groupBy("did", "th").agg(F.collect_set("term").alias("own")))
-    own = own.withColumnsRenamed({"did": "o_did", "th": "o_th"})
+        # in one pass; only texts that hold a term are shuffled
+        words = keyed.select("did", "th", "body", F.explode(_terms(F.col("body"))).alias("term"))
+        own = (words.join(F.broadcast(listed), "term").groupBy("did", "th")
+               .agg(F.collect_set("term").alias("own"), F.first("body").alias("body")))
+    else:
+        own = (keyed.select("did", "th", F.explode(_terms(F.col("body"))).alias("term")).join(listed, "term")
+               .groupBy("did", "th").agg(F.collect_set("term").alias("own"))
+               .withColumnsRenamed({"did": "o_did", "th": "o_th"}))
+        own = keyed.join(own, (F.col("did") == F.col("o_did")) & (F.col("th") == F.col("o_th")))
     # terms are letters and digits only, so they need no quoting
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("own", "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    pieces = (keyed.join(own, (F.col("did") == F.col("o_did")) & (F.col("th") == F.col("o_th")))
-              .select("did", "th", F.explode(_pieces(F.col("body"), pattern, F.lit(TERM))).alias("x"))
+    pieces = (own.select("did", "th", F.explode(_pieces(F.col("body"), pattern, F.lit(TERM))).alias("x"))
               .select("did", "th", "x.*"))
     placed = _placed(pieces)
     taken = base.groupBy("did", "th").agg(F.collect_list(F.struct("start", "end")).alias("b"))
@@ -176,7 +191,7 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD, remove: float = RE
     """(spans, terms): all spans (did, th, kind, start, end, hit) and the
     disclosing terms (term, strength, removed)."""
     base = materialize(base_spans(docs), "pii-base")
-    terms = materialize(disclosing_terms(docs, base, threshold, remove, min_support), "pii-terms")
+    terms = materialize(disclosing_terms(docs, threshold, remove, min_support), "pii-terms")
     spans = base.unionByName(term_spans(docs, base, terms))
     return spans, terms
 
