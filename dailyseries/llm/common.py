@@ -8,6 +8,7 @@ executor never takes intermediate results with it and lineage stays short.
 from __future__ import annotations
 
 import contextlib
+import gc
 
 import numpy as np
 import pandas as pd
@@ -24,12 +25,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in small Arrow batches.
+
+    The default of 10,000 rows is made for numbers; as many texts are tens of
+    MB in the JVM, in Arrow and again as Python strings, for every worker.  A
+    session that sets the size itself keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder once and read it back."""
+    """Write ``df`` below the shared folder once and read it back.
+
+    The shuffles that made it are garbage then, but Spark only deletes their
+    files when the driver's JVM collects; asking for that keeps a job of many
+    steps at the disk use of its largest step.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     _LIVE.append(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -249,6 +272,8 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def batch_texts(column) -> list[bytes]:
-    """UTF-8 bytes of an Arrow string column; null becomes empty."""
-    return [b"" if t is None else t.encode() for t in column.to_pylist()]
+def rows_of(batch, size: int = 256):
+    """Rows of an Arrow batch as tuples, few Python objects at a time."""
+    for at in range(0, batch.num_rows, size):
+        part = batch.slice(at, size)
+        yield from zip(*(c.to_pylist() for c in part.columns), strict=True)

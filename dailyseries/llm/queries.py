@@ -48,7 +48,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digest_columns(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+    return suffix_dedup.digest_columns(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -231,7 +231,7 @@ def passage_rows():
     return out + [(90, "ab" * 300), (91, "z" * 500), (92, "é" * 150), (93, passages[0] * 2)]
 
 
-@pytest.mark.parametrize(("length", "gram", "batches"), [(200, 32, 4), (60, 16, 3), (50, 50, 1)])
+@pytest.mark.parametrize(("length", "gram", "batches"), [(200, 100, 4), (200, 32, 1), (60, 16, 3), (50, 42, 2)])
 def test_suffix_dedup_matches_brute_force(spark, length, gram, batches):
     rows = passage_rows() + [r[:2] for r in awkward() if r[0] not in (12, 13)]
     out = suffix_dedup.remove_repeats(frame(spark, rows), length, gram, batches).collect()
