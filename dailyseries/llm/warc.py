@@ -27,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyseries.llm.common import materialize
+from dailyseries.llm.common import materialize, rows_of, small_batches
 from dailyseries.session import scratch_path
 
 MIN_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
+READ_RECORDS = 4096  # consecutive records read by one task
 CRLF = b"\r\n"
 CHUNK = 1 << 18
 DATE = b"1970-01-01T00:00:00Z"  # pages carry no fetch time
@@ -155,7 +156,7 @@ def write_monolithic(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE
         part, roll, writer, deflate, nth, raw = TaskContext.get().partitionId(), 0, None, None, 0, 0
         for batch in batches:
             rows = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, html in rows_of(batch):
                 if writer is None:
                     name = f"crawl-{part:06d}-{roll:04d}.warc.gz"
                     writer, deflate, nth, raw = ArchiveWriter(folder, name), zlib.compressobj(1, wbits=31), 0, 0
@@ -175,6 +176,7 @@ def write_monolithic(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE
             writer.write(deflate.flush())
             writer.close()
 
+    small_batches(pages.sparkSession)
     columns = pages.select("page_id", F.col("url").cast("string").alias("url"),
                            F.col("html").cast("string").alias("html"))
     return materialize(columns.mapInArrow(run, ENTRY_SCHEMA), "warc-entries")
@@ -204,9 +206,12 @@ def normalise(entries: DataFrame, revisits: DataFrame, raw_folder: str, folder:
     One task per archive; it gets the archive's name and its revisit
     decisions, and streams the records.
     """
-    decided = (entries.select("archive").distinct().withColumns({"nth": F.lit(None).cast("long"),
+    archives = entries.select("archive").distinct()
+    # a number keeps the tasks apart: by their size, rows about archives would all be put into one
+    tasks = max(1, archives.count())
+    decided = (archives.withColumns({"nth": F.lit(None).cast("long"),
                                                                  "refers_to": F.lit(None).cast("long")})
-               .unionByName(revisits))
+               .unionByName(revisits).repartition(tasks, "archive"))
 
     def run(key: tuple[pa.Scalar, ...], decisions: pa.Table) -> pa.Table:
         name = key[0].as_py()
@@ -283,7 +288,9 @@ def round_trip(pages: DataFrame, payload: bool = False) -> DataFrame:
     entries = write_monolithic(pages, f"{folder}/raw")
     index = normalise(entries, decide(entries), f"{folder}/raw", f"{folder}/records")
     # members of one archive in order: seeks go forward and each task keeps few files open
-    ordered = index.repartition("archive", F.floor(F.col("nth") / 512)).sortWithinPartitions("archive", "offset")
+    block = F.floor(F.col("nth") / READ_RECORDS)
+    tasks = max(1, index.groupBy("archive", block.alias("block")).count().count())
+    ordered = index.repartition(tasks, "archive", block).sortWithinPartitions("archive", "offset")
     return read_records(ordered, f"{folder}/records", payload)
 
 
