@@ -106,7 +106,7 @@ def key_bitmap(keys: DataFrame, key_hash, bits: int = FILTER_BITS) -> np.ndarray
     rows = (keys.select(F.shiftright(at, _ROW_BITS).alias("row"), at.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("bit"))
             .groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")))
     out = np.zeros((max(1, 1 << (bits - _ROW_BITS)), 1 << (_ROW_BITS - 3)), np.uint8)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():  # at most 2**(bits - 15) rows of 4 KB
         out[r["row"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out.reshape(-1)
 
