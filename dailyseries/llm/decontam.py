@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyseries.llm.common import materialize
+from dailyseries.llm.common import materialize, small_batches
 
 WINDOW = 10
 ADDED = ["n_words", "n_hit", "n_items", "item_ids", "hit_spans", "contaminated"]
@@ -124,6 +124,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     no window; a null item id still marks words but is not listed.  An empty
     benchmark hits nothing.  Repeated rows are scanned as they come.
     """
+    small_batches(docs.sparkSession)
     base = docs.drop(*ADDED, "__hits")
     out = base
     for i, items in enumerate(item_blocks(benchmark, block_bytes)):

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dailyseries.llm.common import small_batches
+
 UNKNOWN = "und"
 ADDED = ["lang_pred", "score", "rejected"]
 BUCKET_BITS = 14
@@ -152,6 +154,7 @@ def sample_rows(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> list[tuple[st
     """N-gram counts of about ``per_lang`` labelled rows per language, chosen
     by hash among those that may be learned from; whole texts are counted in
     the tasks, and the driver gets vectors of bounded size."""
+    small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     lang = F.col("lang").cast("string")
     usable = docs.where(lang.isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & text.rlike(r"\p{L}"))
@@ -172,8 +175,8 @@ def sample_rows(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> list[tuple[st
         return pd.DataFrame({"idx": [r[0] for r in rows], "cnt": [r[1] for r in rows]})
 
     chosen = (usable.where(place < F.element_at(share, lang))
-              .limit(2 * per_lang * len(sizes))  # holds only if one id repeats very often
-              .select(lang.alias("lang"), F.xxhash64("doc_id").alias("h"), vector(text).alias("v")))
+              .select(lang.alias("lang"), F.xxhash64("doc_id").alias("h"), vector(text).alias("v"))
+              .limit(2 * per_lang * len(sizes)))  # cuts only if one id repeats very often
     got = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"]))
     return [(r["lang"], np.array(r["v"]["idx"]), np.array(r["v"]["cnt"], np.float64)) for r in got]
 
@@ -190,6 +193,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     with score 0 and rejected; so is every text if the model knows no
     language (no labelled rows).  Repeated rows get equal results.
     """
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")

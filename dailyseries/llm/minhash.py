@@ -32,7 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyseries.llm.common import U, drop_table, materialize, maybe_in, mix64, path_of, shingle_sets, signed
+from dailyseries.llm.common import (U, drop_table, materialize, maybe_in, mix64, path_of, shingle_sets, signed,
+                                    small_batches)
 from dailyseries.llm.components import connected_components
 
 WIDTH = 5          # words in a shingle
@@ -232,6 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     never the smallest id while another exists, and kept only in a component
     of null ids.  Rows that share a doc_id are linked each by its own text.
     """
+    small_batches(docs.sparkSession)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"),
                        sketch_udf(width)(text).alias("p"))

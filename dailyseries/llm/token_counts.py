@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dailyseries.llm.common import small_batches
+
 BAND = 1024  # lengths per band of the two-level sums
 
 _ENCODERS: dict[str, object] = {}
@@ -42,6 +44,7 @@ def encoder(path: str):
 def with_length(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``docs`` with n_tokens (long) added; a null or empty text has none.
     Special-token strings in a text count as ordinary text."""
+    small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
 
     @F.pandas_udf("long")
