@@ -145,12 +145,13 @@ def _bound(shared, n, m, percent: int):
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("cid").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("s").alias("sb"))
+    """The pairs (a, b) whose full sets, of n members each, are similar enough.
+
+    ``s`` may lack members that no other set has: the intersection is the same."""
+    left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
-    return (both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
-                        F.size(F.array_intersect("sa", "sb")).alias("i"))
+    return (both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("i"))
             .where(_bound(F.col("i"), F.col("na"), F.col("nb"), percent)).select("a", "b"))
 
 

@@ -64,6 +64,22 @@ def test_near_duplicates_match_brute_force(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("width", [4, 5])
+def test_edited_copies_without_their_original(spark, width):
+    rows = []
+    for g in range(6):  # two changes a copy, at places of its own: Jaccard below 80 %
+        base = words(50 + g, 100 + width - 1)
+        for c in range(3):
+            w = list(base)
+            for k, at in enumerate((15 + 30 * c, 30 + 30 * c)):
+                w[at] = f"edit{g}x{c}x{k}"
+            rows.append((10 * g + c, " ".join(w)))
+    expected = brute_near(rows, width)
+    assert all(i == c for i, _, c in expected)
+    got = minhash.near_duplicates(frame(spark, rows), width=width).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == expected
+
+
 def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     rows = [r[:2] for r in awkward()] + near_group()
     docs = frame(spark, rows)
