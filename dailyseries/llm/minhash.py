@@ -223,14 +223,15 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int)
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, th (hash of the text), n_shingles,
-    component_id, kept.
+    component_id, label, kept.
 
     A document's set holds its distinct ``width``-word shingles (all its words
     as one if it has fewer); words are runs without ``[\\x20\\x09-\\x0D]``
     with A-Z lower-cased.  Documents whose sets have 100 * intersection >=
     ``percent`` * union are linked; component_id is the smallest doc_id
-    reachable.  A null or wordless text has an empty set, is linked with
-    nothing and is its own component.  A null doc_id is linked by its text,
+    reachable, label one value per component, for ids may be shared.  A null or
+    wordless text has an empty set, is linked with nothing and is its own
+    component; its label is null.  A null doc_id is linked by its text,
     never the smallest id while another exists, and kept only in a component
     of null ids.  Rows that share a doc_id are linked each by its own text.
     """
@@ -248,11 +249,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "n", "k1", "k2", "min_id", F.coalesce("label", "cid").alias("label"))
     lowest = named.groupBy("label").agg(F.min("min_id").alias("component_id"))
-    named = named.join(lowest, "label").select("n", "k1", "k2", "component_id")
-    empty = rows.where("n = 0").select("doc_id", "th", "n", F.col("doc_id").alias("component_id"))
-    full = rows.where("n > 0").join(named, ["n", "k1", "k2"]).select("doc_id", "th", "n", "component_id")
+    named = named.join(lowest, "label").select("n", "k1", "k2", "component_id", "label")
+    empty = rows.where("n = 0").select("doc_id", "th", "n", F.col("doc_id").alias("component_id"),
+                                       F.lit(None).cast("long").alias("label"))
+    full = rows.where("n > 0").join(named, ["n", "k1", "k2"]).select("doc_id", "th", "n", "component_id", "label")
     return full.unionByName(empty).select("doc_id", "th", F.col("n").cast("long").alias("n_shingles"), "component_id",
-                                          F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                                          "label", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -260,25 +262,30 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PER
     stays, the one with the smallest doc_id.
 
     Only rows that may be dropped are joined; the others pass straight
-    through.  Where several rows repeat the kept doc_id, one of them stays;
-    documents without words all stay.
+    through.  Where several rows of a group have the kept doc_id, one with
+    the smallest text hash stays; rows of other groups that share the id, or
+    have none either, are not touched.  Documents without words all stay.
     """
     found = materialize(near_duplicates(docs, width, percent), "mh-result")
-    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
-                       .distinct(), "mh-dropped")
-    again = (found.where("kept and n_shingles > 0").groupBy("component_id").agg(F.count("*").alias("c"))
-             .where("c > 1").select(F.col("component_id").alias("g_id")))
+    heads = found.where("kept and n_shingles > 0")
+    again = (heads.groupBy("label").agg(F.min("doc_id").alias("a_id"), F.min("th").alias("a_th"), F.count("*").alias("c"))
+             .where("c > 1").select("label", "a_id", "a_th"))
     again = materialize(again, "mh-repeated")
+    others = heads.join(again, "label").where("th <> a_th")
+    gone = found.where("not kept").select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
+    gone = materialize(gone.union(others.select("doc_id", "th")).distinct(), "mh-dropped")
     cols = docs.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__th": F.xxhash64(text)})
-    suspects = gone.select(F.xxhash64("g_id").alias("h")).union(again.select(F.xxhash64("g_id").alias("h")))
+    suspects = gone.select(F.xxhash64("g_id", "g_th").alias("h")).union(again.select(F.xxhash64("a_id", "a_th").alias("h")))
     maybe = maybe_in(suspects, F.col("h"))
-    clear = keyed.where(~maybe(F.xxhash64("__id"))).select(*cols)
-    rest = keyed.where(maybe(F.xxhash64("__id")))
+    clear = keyed.where(~maybe(F.xxhash64("__id", "__th"))).select(*cols)
+    rest = keyed.where(maybe(F.xxhash64("__id", "__th")))
     rest = rest.join(gone, rest["__id"].eqNullSafe(gone["g_id"]) & (rest["__th"] == gone["g_th"]), "left_anti")
-    twice = rest.join(again, rest["__id"].eqNullSafe(again["g_id"]), "left_semi").dropDuplicates(["__id"]).select(*cols)
-    once = rest.join(again, rest["__id"].eqNullSafe(again["g_id"]), "left_anti").select(*cols)
+    repeated = rest["__id"].eqNullSafe(again["a_id"]) & (rest["__th"] == again["a_th"])
+    # a text has one label, so equal (id, text) are rows of one group
+    twice = rest.join(again, repeated, "left_semi").dropDuplicates(["__id", "__th"]).select(*cols)
+    once = rest.join(again, repeated, "left_anti").select(*cols)
     return clear.unionByName(once).unionByName(twice)
 
 

@@ -96,6 +96,19 @@ def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     assert Counter(i for i, _ in kept) == Counter(i for i, _ in expected)
 
 
+def test_drop_near_duplicates_collapses_rows_of_one_group_only(spark):
+    one, two, three, four = (" ".join(words(70 + k, 60)) for k in range(4))
+    rows = [(None, one), (None, one), (None, two), (None, three + " end"), (None, three),  # null ids, three groups
+            (None, None), (None, " "), (None, ""),                                          # no words
+            (4, four), (4, four), (4, one[::-1]), (4, two[::-1]), (5, four)]               # one id, three groups
+    out = [(r.doc_id, r.text) for r in minhash.drop_near_duplicates(frame(spark, rows)).collect()]
+    assert set(out) <= set(rows)
+    third = [r for r in out if r in ((None, three), (None, three + " end"))]
+    assert len(third) == 1
+    assert Counter(r for r in out if r not in third) == Counter(
+        [(None, one), (None, two), (None, None), (None, " "), (None, ""), (4, four), (4, one[::-1]), (4, two[::-1])])
+
+
 def brute_rows(rows, width=5):
     return [brute_near_row(rows, k, width) for k in sorted(range(len(rows)), key=lambda k: str(rows[k]))]
 
