@@ -10,8 +10,9 @@ learning_rate -> stepSize, n_estimators -> maxIter, num_leaves ->
 maxDepth = ceil(log2(num_leaves)), max_depth -1 -> 30 (Spark's cap),
 min_data_in_leaf / min_child_weight -> minInstancesPerNode,
 feature_fraction / colsample_bytree -> featureSubsetStrategy,
-bagging_fraction / subsample -> subsamplingRate, gamma -> minInfoGain;
-bagging_freq, reg_alpha, reg_lambda have no counterpart.
+bagging_fraction / subsample -> subsamplingRate; bagging_freq, reg_alpha,
+reg_lambda and gamma have no counterpart (gamma is a sum over a node's rows,
+Spark's minInfoGain a mean, which no split reaches at gamma's values).
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ DEFAULT_GRID = {
 
 
 # parameters without a counterpart in Spark's trees: reported, not applied
-UNSUPPORTED = ("bagging_freq", "reg_alpha", "reg_lambda")
+UNSUPPORTED = ("bagging_freq", "reg_alpha", "reg_lambda", "gamma")
 MAX_DEPTH = 30  # Spark's limit; also what "no limit" means
 
 
@@ -76,8 +77,6 @@ def spark_params(params: Mapping) -> dict:
             out["featureSubsetStrategy"] = "all" if float(v) >= 1 else str(float(v))
         elif k in ("bagging_fraction", "subsample"):
             out["subsamplingRate"] = float(v)
-        elif k == "gamma":
-            out["minInfoGain"] = float(v)
         elif k in UNSUPPORTED:
             warnings.warn(f"{k} has no counterpart in Spark's trees and is not applied", stacklevel=2)
         else:
@@ -150,11 +149,11 @@ def score(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
 
 
 def train_random_forest(df: DataFrame, features: Sequence[str], label: str, split_col: str = "split",
-                        num_trees: int = 100, max_depth: int = 10) -> PipelineModel:
+                        num_trees: int = 100, max_depth: int = 10, min_instances: int = 1) -> PipelineModel:
     """M4: random forest with fixed parameters."""
     ensure_numeric(df, features)
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
-                                maxDepth=max_depth, seed=SEED)
+                                maxDepth=max_depth, minInstancesPerNode=min_instances, seed=SEED)
     return Pipeline(stages=[_assembler(features), rf]).fit(df.where(F.col(split_col) == "train"))
 
 
@@ -177,6 +176,20 @@ def grid_from(grid: Mapping[str, Sequence]) -> list[dict]:
     return out
 
 
+def _distinct(param_sets: Sequence[Mapping]) -> tuple[list[dict], list[int]]:
+    """The distinct Spark parameter sets, and which of them each set maps to."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("once")
+        keys = [tuple(sorted(spark_params(p).items())) for p in param_sets]
+    number = {key: n for n, key in enumerate(dict.fromkeys(keys))}
+    return [dict(key) for key in number], [number[key] for key in keys]
+
+
+def _fold_count(df: DataFrame, fold_col: str) -> int:
+    """Folds are numbered from 0; CrossValidator takes three unless told."""
+    return int(df.agg(F.max(fold_col)).first()[0]) + 1
+
+
 def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
                 grid: Mapping[str, Sequence] | None = None, base: Mapping | None = None,
                 parallelism: int = 4) -> tuple[DataFrame, list[dict], PipelineModel]:
@@ -185,24 +198,21 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     points (rank, params, mean, std), the ranked parameter dicts and the best
     model refitted on all rows (assembler + trees).
 
-    Points that map to the same Spark parameters are fitted once and share
-    their scores."""
+    Positive rows are weighted as in ``train_gbt``, over all rows of ``df``;
+    without ``base`` 300 rounds are fitted.  Points that map to the same
+    Spark parameters are fitted once and share their scores."""
     grid = grid or DEFAULT_GRID
     combos = grid_from(grid)
-    est = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **spark_params(base or {}))
-    with warnings.catch_warnings():
-        warnings.simplefilter("once")
-        mapped = [spark_params(c) for c in combos]
-    keys = [tuple(sorted(sp.items())) for sp in mapped]
-    distinct = {key: n for n, key in enumerate(dict.fromkeys(keys))}
-    maps = [{getattr(est, k): v for k, v in key} for key in distinct]
-    at = [distinct[key] for key in keys]
+    est = GBTClassifier(labelCol=label, featuresCol="features", weightCol="_w", seed=SEED,
+                        **{"maxIter": 300, **spark_params(base or {})})
+    distinct, at = _distinct(combos)
+    maps = [{getattr(est, k): v for k, v in sp.items()} for sp in distinct]
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=SEED)
-    data = _assembler(features).transform(df.withColumn(fold_col, F.col(fold_col).cast("int")))
-    m = cv.fit(data)
+                        numFolds=_fold_count(df, fold_col), parallelism=parallelism, seed=SEED)
+    data = class_weights(df.withColumn(fold_col, F.col(fold_col).cast("int")), label, split_col=None)
+    m = cv.fit(_assembler(features).transform(data))
     rows = [(i, str(combos[i]), float(m.avgMetrics[at[i]]), float(m.stdMetrics[at[i]])) for i in range(len(combos))]
     order = sorted(range(len(rows)), key=lambda i: (-rows[i][2], i))
     ranked = [(rank + 1,) + rows[i] for rank, i in enumerate(order)]
@@ -232,12 +242,13 @@ def random_search_regression(df: DataFrame, features: Sequence[str], label: str,
     """M3: seeded random search of boosted regression trees, k-fold RMSE."""
     draws = sample_params(space, n_iter)
     est = GBTRegressor(labelCol=label, featuresCol="features", seed=SEED)
-    maps = [{getattr(est, k): v for k, v in spark_params(d).items()} for d in draws]
+    distinct, at = _distinct(draws)
+    maps = [{getattr(est, k): v for k, v in sp.items()} for sp in distinct]
     ev = RegressionEvaluator(labelCol=label, metricName="rmse")
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=SEED)
+                        numFolds=_fold_count(df, fold_col), parallelism=parallelism, seed=SEED)
     m = cv.fit(_assembler(features).transform(df.withColumn(fold_col, F.col(fold_col).cast("int"))))
-    rows = [(i, str(draws[i]), float(m.avgMetrics[i]), float(m.stdMetrics[i])) for i in range(len(draws))]
+    rows = [(i, str(draws[i]), float(m.avgMetrics[at[i]]), float(m.stdMetrics[at[i]])) for i in range(len(draws))]
     order = sorted(range(len(rows)), key=lambda i: (rows[i][2], i))
     return df.sparkSession.createDataFrame([(r + 1,) + rows[i] for r, i in enumerate(order)],
                                            "rank_test_score int, draw int, params string, mean_rmse double, std_rmse double")
@@ -247,11 +258,26 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, param_sets: Seq
              split_col: str = "split", max_iter: int = 50, patience: int = 10,
              parallelism: int = 4) -> list[tuple[PipelineModel, int]]:
     """Fit several boosted models concurrently (driver threads each launch
-    cluster jobs, like CrossValidator's ``parallelism``)."""
+    cluster jobs, like CrossValidator's ``parallelism``).  Sets that map to the
+    same Spark parameters share one fit."""
+    distinct, at = _distinct(param_sets)
+    first = [param_sets[at.index(n)] for n in range(len(distinct))]
+
     def one(p):
         return train_gbt(df, features, label, split_col, p, max_iter=max_iter, patience=patience)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        return list(ex.map(one, param_sets))
+        fits = list(ex.map(one, first))
+    return [fits[n] for n in at]
+
+
+def fit_members(df: DataFrame, features: Sequence[str], members: Mapping, split_col: str = "split",
+                parallelism: int = 4) -> dict[str, PipelineModel]:
+    """M7: every estimator of ``members`` fitted on the train rows, by name."""
+    ensure_numeric(df, features)
+    train = df.where(F.col(split_col) == "train")
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        fits = ex.map(lambda e: Pipeline(stages=[_assembler(features), e]).fit(train), members.values())
+        return dict(zip(members, fits))
 
 
 def evaluate_models(df: DataFrame, models: Mapping[str, PipelineModel], label: str,
@@ -288,13 +314,17 @@ def fold_fit_score(df: DataFrame, features: Sequence[str], label: str, estimator
     positioned before that fold (``train_from <= k``, from
     ``splits.walk_forward_folds`` / ``time_series_folds``) and score the
     fold's rows.  Returns (fold, keep..., y, p) of all folds -- scored by ONE
-    grouped metric job afterwards."""
+    grouped metric job afterwards.  Several estimators (a sequence of
+    classifiers) are fitted each and give the mean of their probabilities."""
     asm = _assembler(features)
     folds = sorted(r[0] for r in df.where(F.col(fold_col).isNotNull()).select(fold_col).distinct().collect())
 
     def one(k: int) -> DataFrame:
-        m = Pipeline(stages=[asm, estimator.copy()]).fit(df.where(F.col(train_from_col) <= k))
-        s = m.transform(df.where(F.col(fold_col) == k))
+        train, test = df.where(F.col(train_from_col) <= k), df.where(F.col(fold_col) == k)
+        if isinstance(estimator, Sequence):
+            s = soft_vote(test, [Pipeline(stages=[asm, e.copy()]).fit(train) for e in estimator])
+            return s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), "p")
+        s = Pipeline(stages=[asm, estimator.copy()]).fit(train).transform(test)
         pcol = positive_proba() if "probability" in s.columns else F.col("prediction")
         return s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), pcol.alias("p"))
 

@@ -23,7 +23,25 @@ from dailyseries.plans.registry import query
 
 R = o.r
 DW = o.daily_weather_sql(nulls=True)
-SMALL = {"n_estimators": 15, "max_depth": 4, "learning_rate": 0.1}
+# the reference's parameters
+BASE = {"n_estimators": 300, "num_leaves": 31, "learning_rate": 0.1}
+WALK = {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8}
+REG_SPACE = {"n_estimators": list(range(200, 1000, 100)), "max_depth": list(range(3, 10)),
+             "learning_rate": [round(0.01 * k, 2) for k in range(1, 31)], "subsample": [0.6, 0.7, 0.8, 0.9, 1.0],
+             "colsample_bytree": [0.6, 0.7, 0.8, 0.9, 1.0], "gamma": [5 * k / 9 for k in range(10)],
+             "reg_alpha": [0, 0.01, 0.1, 1, 10], "reg_lambda": [0.1, 1, 10, 50]}
+CLS_SPACE = {"n_estimators": [200, 500, 800], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.05, 0.1],
+             "subsample": [0.6, 0.8, 1.0], "colsample_bytree": [0.6, 0.8, 1.0], "gamma": [0, 1, 5]}
+
+
+def _members(y):
+    """The four members of the soft vote, unweighted as in the reference."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    cols = {"labelCol": y, "featuresCol": "features", "seed": md.SEED}
+    gbt = {"xgb": {**WALK, "gamma": 2}, "lgb": {**WALK, "num_leaves": 31},
+           "gb": {"n_estimators": 300, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8}}
+    out = {name: GBTClassifier(**cols, **md.spark_params(p)) for name, p in gbt.items()}
+    return out | {"rf": RandomForestClassifier(**cols, numTrees=300, maxDepth=8, minInstancesPerNode=2)}
 
 
 def _cls_table(spark, sf):
@@ -35,7 +53,7 @@ def _cls_table(spark, sf):
 def q_train_gbt_scores(spark, sf):
     """Class-weighted boosted trees with patience stopping; test-split scores."""
     df, feats, y = _cls_table(spark, sf)
-    model, _ = md.train_gbt(df, feats, y, params=SMALL, max_iter=15, patience=5)
+    model, _ = md.train_gbt(df, feats, y, params=BASE, max_iter=300, patience=30)
     return md.score(model, df.where(F.col("split") == "test")).select("series_key", "time", y, "p")
 
 
@@ -43,34 +61,30 @@ def q_train_gbt_scores(spark, sf):
 def q_feature_importance(spark, sf):
     """Feature importances of the boosted model, sorted."""
     df, feats, y = _cls_table(spark, sf)
-    model, _ = md.train_gbt(df, feats, y, params=SMALL, max_iter=15, patience=5)
+    model, _ = md.train_gbt(df, feats, y, params=BASE, max_iter=300, patience=30)
     return md.feature_importance(model, feats)
 
 
 def _train_folds(spark, sf):
     df, feats, y = _cls_table(spark, sf)
     tr = df.where(F.col("split") == "train")
-    return spl.stratified_folds(tr, y, 3, order_key=["time", "series_key"]), feats, y
+    return spl.stratified_folds(tr, y, 5, order_key=["time", "series_key"]), feats, y
 
 
 @query("grid_search_table")
 def q_grid_search_table(spark, sf):
-    """M2/O3: cross-validated AUC over a small grid, ranked (stratified folds)."""
+    """M2/O3: cross-validated AUC over the default grid, ranked (stratified folds)."""
     data, feats, y = _train_folds(spark, sf)
-    grid = {"learning_rate": [0.05, 0.1], "num_leaves": [8, 16], "n_estimators": [8]}
-    table, _, best = md.grid_search(data, feats, y, "fold", grid)
-    assert best.stages[-1].getNumTrees == 8
-    return table
+    return md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)[0]
 
 
 @query("topk_refit")
 def q_topk_refit(spark, sf):
-    """M6: refit the 2 best grid points with early stopping; val AUC and % zeros."""
+    """M6: refit the 10 best grid points with early stopping; val AUC and % zeros."""
     data, feats, y = _train_folds(spark, sf)
-    grid = {"learning_rate": [0.05, 0.1], "num_leaves": [8, 16], "n_estimators": [8]}
-    table, ranked, _ = md.grid_search(data, feats, y, "fold", grid)
+    table, ranked, _ = md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)
     df, _, _ = _cls_table(spark, sf)
-    fits = md.fit_many(df, feats, y, ranked[:2], max_iter=8, patience=3)
+    fits = md.fit_many(df, feats, y, ranked[:10], max_iter=300, patience=30)
     ev = md.evaluate_models(df, {str(i + 1): m for i, (m, _) in enumerate(fits)}, y)
     return table.withColumn("model_name", F.col("rank_test_score").cast("string")).join(ev, "model_name")
 
@@ -80,18 +94,15 @@ def q_random_search_regression(spark, sf):
     """M3: seeded random search of boosted regression trees, 3-fold RMSE."""
     df, feats, y = feature_pipeline(fx.daily_weather(spark, sf, nulls=True), task="regression")
     tr = spl.kfold(df.where(F.col("split") == "train"), 3)
-    space = {"n_estimators": [5, 10], "max_depth": [3, 5], "learning_rate": [0.05, 0.1], "subsample": [0.8, 1.0]}
-    return md.random_search_regression(tr, feats, y, "fold", space, n_iter=3)
+    return md.random_search_regression(tr, feats, y, "fold", REG_SPACE, n_iter=30)
 
 
 @query("random_search_classification")
 def q_random_search_classification(spark, sf):
-    """M5: 3 draws of a 729-point space, fitted on train, ranked by val AUC."""
+    """M5: 20 draws of a 729-point space, fitted on train, ranked by val AUC."""
     df, feats, y = _cls_table(spark, sf)
-    space = {"learning_rate": [0.01, 0.05, 0.1], "max_depth": [3, 4, 5], "n_estimators": [5, 8, 10],
-             "subsample": [0.6, 0.8, 1.0], "colsample_bytree": [0.6, 0.8, 1.0], "min_child_weight": [1, 5, 10]}
-    draws = md.sample_params(space, 3)
-    fits = md.fit_many(df, feats, y, draws, max_iter=10, patience=0)
+    draws = md.sample_params(CLS_SPACE, 20)
+    fits = md.fit_many(df, feats, y, draws, patience=0)
     ev = md.evaluate_models(df, {str(d): m for d, (m, _) in zip(draws, fits)}, y)
     return ev.orderBy(F.col("val_auc").desc_nulls_last())
 
@@ -100,26 +111,24 @@ def q_random_search_classification(spark, sf):
 def q_train_rf_scores(spark, sf):
     """M4: random forest with fixed parameters; test-split scores."""
     df, feats, y = _cls_table(spark, sf)
-    m = md.train_random_forest(df, feats, y, num_trees=20, max_depth=6)
+    m = md.train_random_forest(df, feats, y, num_trees=300, max_depth=8, min_instances=2)
     return md.score(m, df.where(F.col("split") == "test")).select("series_key", "time", y, "p")
 
 
 @query("ensemble_scores")
 def q_ensemble_scores(spark, sf):
-    """M7: soft vote of boosted trees and a random forest on the test split."""
+    """M7: soft vote of three boosted models and a random forest on the test split."""
     df, feats, y = _cls_table(spark, sf)
-    gbt, _ = md.train_gbt(df, feats, y, params=SMALL, max_iter=10, patience=0)
-    rf = md.train_random_forest(df, feats, y, num_trees=20, max_depth=6)
-    return md.soft_vote(df.where(F.col("split") == "test"), [gbt, rf]).select("series_key", "time", y, "p")
+    fits = md.fit_members(df, feats, _members(y))
+    return md.soft_vote(df.where(F.col("split") == "test"), list(fits.values())).select("series_key", "time", y, "p")
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    """Boosted trees vs random forest, validation AUC in one metric job."""
+    """The four members of the vote, validation AUC in one metric job."""
     df, feats, y = _cls_table(spark, sf)
-    gbt, _ = md.train_gbt(df, feats, y, params=SMALL, max_iter=10, patience=0)
-    rf = md.train_random_forest(df, feats, y, num_trees=20, max_depth=6)
-    return sc.compare_models(md.evaluate_models(df, {"gbt": gbt, "rf": rf}, y).withColumnRenamed("val_auc", "auc_score"))
+    fits = md.fit_members(df, feats, _members(y))
+    return sc.compare_models(md.evaluate_models(df, fits, y).withColumnRenamed("val_auc", "auc_score"))
 
 
 # ------------------------------------------------------------------ model-free, SQL-checked
@@ -237,7 +246,7 @@ def q_walk_forward_gbt(spark, sf):
     from pyspark.ml.regression import GBTRegressor
     df, feats, y = feature_pipeline(fx.daily_weather(spark, sf, nulls=True), task="regression")
     f = spl.walk_forward_folds(df)
-    est = GBTRegressor(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=10, maxDepth=4, stepSize=0.1)
+    est = GBTRegressor(labelCol=y, featuresCol="features", seed=md.SEED, **md.spark_params(WALK))
     scored = md.fold_fit_score(f, feats, y, est, keep=["time"])
     m = mt.regression_metrics(scored, "y", "p", by=["fold"])
     ends = (f.groupBy("train_from").agg(F.max("time").alias("train_end_time"))
@@ -248,14 +257,12 @@ def q_walk_forward_gbt(spark, sf):
 
 @query("time_series_cv")
 def q_time_series_cv(spark, sf):
-    """L3 with a model: five expanding-window folds of the rain classifier,
+    """L3 with a model: five expanding-window folds of the four-member vote,
     AUC per fold and mean +/- 2 std (population) in one grouped job."""
-    from pyspark.ml.classification import GBTClassifier
     df, feats, y = _cls_table(spark, sf)
     tr = df.where(F.col("split") == "train")
     f = spl.time_series_folds(tr, 5)
-    est = GBTClassifier(labelCol=y, featuresCol="features", seed=md.SEED, maxIter=5, maxDepth=3)
-    per = mt.roc_auc(md.fold_fit_score(f, feats, y, est), by=["fold"])
+    per = mt.roc_auc(md.fold_fit_score(f, feats, y, list(_members(y).values())), by=["fold"])
     summ = per.agg(F.avg("auc_score").alias("cv_mean"), F.stddev_pop("auc_score").alias("cv_std"))
     from dailyseries.plans.ranking import join_groups
     return join_groups(per, summ, []).withColumns({"cv_low": F.col("cv_mean") - 2 * F.col("cv_std"),
