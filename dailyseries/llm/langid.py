@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailyseries.llm.common import small_batches
@@ -28,7 +28,7 @@ ADDED = ["lang_pred", "score", "rejected"]
 BUCKET_BITS = 14
 DIM = 16
 ROWS_PER_LANG = 800   # labelled rows sampled per language, in expectation
-MAX_LANGS = 200
+MAX_LANGS = 8192      # the table then takes 1 GB; more raise
 EPOCHS = 6
 RATE = 0.5
 CALIBRATION_SHARE = 5  # one row in five calibrates
@@ -153,12 +153,15 @@ def held_out(doc_id) -> object:
 def sample_rows(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """N-gram counts of about ``per_lang`` labelled rows per language, chosen
     by hash among those that may be learned from; whole texts are counted in
-    the tasks, and the driver gets vectors of bounded size."""
+    the tasks, and the driver gets vectors of bounded size.  Every label is
+    sampled; more than ``MAX_LANGS`` of them raise."""
     small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     lang = F.col("lang").cast("string")
     usable = docs.where(lang.isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & text.rlike(r"\p{L}"))
-    sizes = (usable.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
+    sizes = (usable.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect())
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages: the model would not fit")
     if not sizes:
         return []
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])
@@ -175,9 +178,12 @@ def sample_rows(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> list[tuple[st
         return pd.DataFrame({"idx": [r[0] for r in rows], "cnt": [r[1] for r in rows]})
 
     chosen = (usable.where(place < F.element_at(share, lang))
-              .select(lang.alias("lang"), F.xxhash64("doc_id").alias("h"), vector(text).alias("v"))
-              .limit(2 * per_lang * len(sizes)))  # cuts only if one id repeats very often
-    got = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"]))
+              .select(lang.alias("lang"), F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", text).alias("o"),
+                      vector(text).alias("v")))
+    # cuts only if one id repeats very often; equal rows are interchangeable
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
+    chosen = chosen.withColumn("nth", nth).where(F.col("nth") <= 2 * per_lang)
+    got = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"], r["o"]))
     return [(r["lang"], np.array(r["v"]["idx"]), np.array(r["v"]["cnt"], np.float64)) for r in got]
 
 

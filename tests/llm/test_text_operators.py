@@ -34,6 +34,22 @@ def test_training_reads_only_permitted_rows(spark):
     assert {r[0] for r in langid.sample_rows(frame(spark, rows))} == {"ok"}
 
 
+def test_every_label_is_sampled_and_the_bound_is_per_language(spark, monkeypatch):
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"words of {i}", f"l{k % 230}") for k, i in enumerate(ids[:460])]
+    rows += [(ids[0], f"again {k}", "l0") for k in range(50)]
+    docs = frame(spark, rows)
+    got = Counter(r[0] for r in langid.sample_rows(docs))
+    assert got == Counter(r[2] for r in rows)
+    # all rows of one id are chosen together: the bound cuts them, and no other language
+    again = [Counter(r[0] for r in langid.sample_rows(docs.repartition(n), 10)) for n in (1, 7)]
+    assert again[0] == again[1] and again[0]["l0"] <= 20
+    assert all(again[0][f"l{k}"] == 2 for k in range(1, 230))
+    monkeypatch.setattr(langid, "MAX_LANGS", 229)
+    with pytest.raises(ValueError, match="229 languages"):
+        langid.sample_rows(docs)
+
+
 def test_language_id_of_awkward_rows(spark):
     docs = frame(spark, awkward())
     for model in (langid.fit(docs), langid.Model([], np.zeros((1 << langid.BUCKET_BITS, 0)), np.zeros(0))):
