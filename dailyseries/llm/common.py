@@ -40,6 +40,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """:func:`small_batches` for the jobs run inside the block only."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if int(before) == 10_000:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder once and read it back.
 

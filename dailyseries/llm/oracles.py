@@ -113,3 +113,82 @@ agg as (select doc_id, string_agg(x, ',' order by kind, s) as spans,
 select doc_id, {', '.join(f"coalesce({n}, 0) as {n}" for n in _COUNTS)},
   sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join agg using (doc_id)
 """
+
+
+def _least(*options: str) -> str:
+    return f"least({', '.join(options)})"
+
+
+def _edit(letter: str, state: str, cost: str, when: str = "true") -> str:
+    return f"case when {when} then {{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a}} end"
+
+
+def _row_step() -> str:
+    """Cheapest way on from each state over one row, before inserts."""
+    to = {"q0": ("q2", [("s", "q1"), ("u", "q2")]), "q1": ("q2", [("u", "q2")]), "q2": ("q3", [("a", "q3")]),
+          "q3": ("q2", [("u", "q2")])}
+    return ", ".join(_least(_edit("D", q, "4"), *[_edit("K", k, "more", f"stays and r = '{r}'") for r, k in kept],
+                            _edit("R", asked, "3 + more", "stays")) + f" as b{q[1]}" for q, (asked, kept) in to.items())
+
+
+CONVERSATIONS = rf"""
+with recursive tbl as (
+  select list_transform(range(256), lambda i: list_reduce([cast(i as ubigint)] || cast(range(8) as ubigint[]),
+    lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as t),
+raw as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, list_transform(string_split(
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+    lambda c: cast(ord(c) as ubigint)) as k from conversations),
+crc as (
+  select raw.*, xor(list_reduce([cast(4294967295 as ubigint)] || k, lambda a, b: xor(a >> 8, t[cast((xor(a, b) & 255) + 1 as bigint)])),
+    4294967295) % 20 as h from raw, tbl),
+hit as (
+  select conv_id, turn, case when h = 4 then 'user' else role end as role,
+    case when h = 1 then '' when h = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case h when 0 then 0 when 3 then 2 else 1 end)) as copy from crc),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i,
+    left(role, 1) as r, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) as tail from hit),
+faults as (
+  select *, tail = '' as blank,
+    tail <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as dup,
+    lag(r) over (partition by conv_id order by i) || r as pair from placed),
+row as (
+  select *, not blank and not dup and tail not in ('.', '!', '?') as cut, not blank and not dup as stays,
+    case when not blank and not dup and tail not in ('.', '!', '?') then 3 else 0 end as more from faults),
+ids as (select distinct conv_id from conversations),
+counts as (
+  select ids.conv_id, count(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where blank) as blank, count(*) filter (where dup) as duplicate,
+    count(*) filter (where cut) as truncated,
+    count(*) filter (where pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from ids left join row on row.conv_id is not distinct from ids.conv_id group by ids.conv_id),
+back as (
+  select conv_id, n as i, {{'c': cast(0 as bigint), 'a': ''}} as q0, {{'c': cast(6 as bigint), 'a': 'II'}} as q1,
+    {{'c': cast(3 as bigint), 'a': 'I'}} as q2, {{'c': cast(0 as bigint), 'a': ''}} as q3 from counts
+  union all
+  select conv_id, i, {_least('b0', _edit('I', 'u', '3'))}, {_least('b1', _edit('I', 'u', '3'))}, u, a from (
+    select *, {_least('b2', _edit('I', 'b3', '3'))} as u, {_least('b3', _edit('I', 'b2', '3'))} as a from (
+      select back.conv_id, back.i - 1 as i, {_row_step()}
+      from back join row on row.conv_id is not distinct from back.conv_id and row.i = back.i))),
+best as (select conv_id, q0.c as cost, q0.a as audit from back where i = 0),
+letters as (
+  select conv_id, p, audit[p] as e from (
+    select conv_id, audit, unnest(range(1, length(audit) + 1)) as p from best)),
+numbered as (
+  select *, sum(case when e = 'I' then 0 else 1 end) over (partition by conv_id order by p) as i from letters),
+lines as (
+  select l.conv_id, l.p, l.e, row.role, row.text, l.e = 'K' and row.r = 's' as first
+  from numbered l left join row on row.conv_id is not distinct from l.conv_id and row.i = l.i and l.e <> 'I'
+  where l.e <> 'D'),
+turned as (
+  select *, sum(case when first then 0 else 1 end) over (partition by conv_id order by p) % 2 as odd from lines),
+said as (
+  select conv_id, p, case when e = 'K' then role when odd = 1 then 'user' else 'assistant' end || ':'
+    || case when e = 'I' then '' else text end as line from turned),
+digest as (select conv_id, sha256(string_agg(line, chr(10) order by p)) as d from said group by conv_id)
+select c.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, b.cost, b.audit,
+  coalesce(d.d, sha256('')) as repaired_sha256
+from counts c join best b on b.conv_id is not distinct from c.conv_id
+left join digest d on d.conv_id is not distinct from c.conv_id
+"""

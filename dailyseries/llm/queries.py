@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailyseries.llm import (decontam, hamming, langid, line_dedup, minhash, mixing, oracles, pii, suffix_dedup,
-                             token_counts, warc)
+from dailyseries.llm import (conversations, decontam, hamming, langid, line_dedup, minhash, mixing, oracles, pii,
+                             simhash, suffix_dedup, token_counts, warc, whitening)
 from dailyseries.llm.common import table
 
 
@@ -56,9 +56,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest_columns(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest_columns(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(*conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_warc, op3_pii, op4_token_counts, op5_hamming_top_k, op6_mixing, op7_minhash,
-    op8_line_dedup, op9_suffix_dedup, op10_decontamination)}
+    op8_line_dedup, op9_suffix_dedup, op10_decontamination, op11_simhash, op12_whitening, op13_conversations)}
 
 ORACLE = {
     "op2_warc": warc.ORACLE,
@@ -69,4 +81,5 @@ ORACLE = {
     "op8_line_dedup": line_dedup.ORACLE,
     "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op10_decontamination": decontam.ORACLE,
+    "op13_conversations": oracles.CONVERSATIONS,
 }
