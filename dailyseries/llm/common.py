@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from dailyseries.session import scratch_path
 
-# Scratch tables still on disk, oldest first.
-_LIVE: list[str] = []
+# Scratch tables still on disk, each with its number.
+_LIVE: dict[str, int] = {}
+_MADE = 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +61,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     files when the driver's JVM collects; asking for that keeps a job of many
     steps at the disk use of its largest step.
     """
+    global _MADE
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _LIVE.append(path)
+    _LIVE[path] = _MADE
+    _MADE += 1
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
@@ -73,8 +76,7 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Delete one scratch table that no later step reads."""
     hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
-    with contextlib.suppress(ValueError):
-        _LIVE.remove(path)
+    _LIVE.pop(path, None)
 
 
 def path_of(df: DataFrame) -> str:
@@ -83,14 +85,21 @@ def path_of(df: DataFrame) -> str:
 
 
 def scratch_mark() -> int:
-    return len(_LIVE)
+    """A point in time for :func:`scratch_since`."""
+    return _MADE
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete every scratch table.  Only for callers that have already written
-    the results that read them (the pipeline, between two stages)."""
-    for path in list(_LIVE):
-        drop_table(spark, path)
+def scratch_since(mark: int) -> list[str]:
+    """Scratch tables written since ``mark`` that are still there."""
+    return [path for path, number in _LIVE.items() if number >= mark]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables.  Only for a caller that has already written all
+    results that read them."""
+    for path in paths:
+        if path in _LIVE:
+            drop_table(spark, path)
 
 
 def ascii_lower(c):

@@ -1,11 +1,17 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-Codes are cut into 16-bit segments, and every distinct code is indexed once
-per segment value.  Search proceeds by radius: in round r, every query that is
-not finished probes all segment values at exactly r flipped bits.  After the
-round every code within Hamming distance ``segments * (r + 1) - 1`` has been
-seen (pigeonhole), so a query is finished once its k-th verified distance is
-at most that.  The result is exact at any size; nothing is capped.
+A code has one sign bit per dimension, as words of 64 bits.  Codes are cut into
+16-bit segments, and every distinct code is indexed once per segment value.
+Search proceeds by radius: in round r, every query that is not finished
+probes the segment values at exactly r flipped bits.  After the round every
+code within Hamming distance ``segments * (r + 1) - 1`` has been seen
+(pigeonhole), so a query is finished once its k-th verified distance is at
+most that.  The result is exact at any size; nothing is capped.
+
+Which values of a segment occur in the index is a bitmap of 65 536 bits,
+shipped to the tasks.  Flipped values that do not occur never become rows, so
+a query has no more probes than the index has segment values: from the
+masks of weight r where these are fewer, else from the occupied values.
 
 Equal codes are one index entry that keeps its ``k + 1`` smallest ids, which
 is all that a top-k with ties broken by id can use, so one very common vector
@@ -14,37 +20,89 @@ costs no more than a rare one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailyseries.llm.common import materialize
 
 SEGMENT_BITS = 16
-SEGMENTS = 4
-DIMS = SEGMENT_BITS * SEGMENTS
+WORD_BITS = 64
+PER_WORD = WORD_BITS // SEGMENT_BITS
 TOP_K = 10
 QUERY_STEP = 20
 
 
-def with_code(vectors: DataFrame, column: str = "embedding") -> DataFrame:
-    """(vec_id, code): one sign bit for each of the first 64 dimensions; a
-    missing or null dimension is a 0 bit.  Rows with a null id or a null
+def words_of(vectors: DataFrame, column: str = "embedding") -> int:
+    """Words of 64 bits that a code of the longest vector takes; at least one."""
+    width = vectors.agg(F.max(F.size(F.col(column)))).first()[0] or 0
+    return max(1, -(-width // WORD_BITS))
+
+
+def with_code(vectors: DataFrame, words: int, column: str = "embedding") -> DataFrame:
+    """(vec_id, code): one sign bit per dimension in an array of ``words`` words;
+    a missing or null dimension is a 0 bit.  Rows with a null id or a null
     vector are left out; of rows that share an id, the smallest code counts."""
-    bits = F.transform(F.sequence(F.lit(0), F.lit(DIMS - 1)), lambda i: F.when(
-        F.get(column, i) >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def word(w: int):
+        bits = F.transform(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), lambda i: F.when(
+            F.get(column, i + w * WORD_BITS) >= 0, F.call_function("shiftleft", one, i)).otherwise(zero))
+        return F.aggregate(bits, zero, lambda a, b: a.bitwiseOR(b))
+
     return (vectors.where(F.col("vec_id").isNotNull() & F.col(column).isNotNull())
-            .select(F.col("vec_id").cast("long").alias("vec_id"),
-                    F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)).alias("code"))
+            .select(F.col("vec_id").cast("long").alias("vec_id"), F.array(*[word(w) for w in range(words)]).alias("code"))
             .groupBy("vec_id").agg(F.min("code").alias("code")))
 
 
-def _segment(code, s: int):
-    return F.shiftrightunsigned(code, SEGMENT_BITS * s).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int")
+def _segment(code: str, s: int):
+    word = F.get(code, F.lit(s // PER_WORD))
+    return (F.shiftrightunsigned(word, SEGMENT_BITS * (s % PER_WORD))
+            .bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int"))
+
+
+def _segments(code: str, words: int):
+    return F.posexplode(F.array(*[_segment(code, s) for s in range(words * PER_WORD)]))
+
+
+def occupied_values(entries: DataFrame, segments: int) -> list[np.ndarray]:
+    """For each segment the bitmap of its values in the index: 8 KB each."""
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("val")).alias("bits")
+    rows = (entries.select("seg", "val").groupBy("seg", F.bitmap_bucket_number("val").alias("bucket")).agg(bits))
+    out = np.zeros((segments, 1 << SEGMENT_BITS), bool)
+    for r in rows.collect():  # at most three rows of 4 KB a segment
+        on = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little"))
+        # Spark's bitmaps count from 1: bucket b holds the values (b - 1) * 32768 + 1 ... b * 32768
+        values = on + 1 + (r["bucket"] - 1) * 32768 if r["bucket"] > 0 else -on
+        out[r["seg"], values] = True
+    return [np.packbits(row) for row in out]
+
+
+def near_values_udf(spark, occupied: list[np.ndarray], radius: int):
+    """The occupied values of a segment at exactly ``radius`` bits from a value."""
+    shipped = spark.sparkContext.broadcast(occupied)  # 8 KB a segment
+    masks = np.flatnonzero(np.bitwise_count(np.arange(1 << SEGMENT_BITS, dtype=np.uint32)) == radius).astype(np.uint32)
+
+    @F.pandas_udf("array<int>")
+    def near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        held = [np.unpackbits(b).astype(bool) for b in shipped.value]
+        values = [np.flatnonzero(h).astype(np.uint32) for h in held]
+
+        def of(seg: int, own: int) -> np.ndarray:
+            if len(masks) <= len(values[seg]):
+                at = masks ^ np.uint32(own)
+                return at[held[seg][at]].astype(np.int32)
+            return values[seg][np.bitwise_count(values[seg] ^ np.uint32(own)) == radius].astype(np.int32)
 
+        for segs, owns in batches:
+            yield pd.Series([of(s, o) for s, o in zip(segs.tolist(), owns.tolist(), strict=True)])
 
-def _masks(weight: int):
-    """All 16-bit masks with ``weight`` bits; folded to a constant."""
-    return F.filter(F.sequence(F.lit(0), F.lit((1 << SEGMENT_BITS) - 1)), lambda x: F.bit_count(x) == weight)
+    return near
 
 
 def distinct_codes(codes: DataFrame, k: int) -> DataFrame:
@@ -54,33 +112,34 @@ def distinct_codes(codes: DataFrame, k: int) -> DataFrame:
     return few.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
-def search_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def search_codes(index: DataFrame, queries: DataFrame, k: int, words: int) -> DataFrame:
     """(q, code, dist): for each query code the k + 1 first index codes by
     (distance, smallest id), which hold its k + 1 nearest ids."""
+    segments = words * PER_WORD
     codes = index.select("code", F.size("ids").alias("n"), F.get("ids", F.lit(0)).alias("low"))
-    entries = materialize(
-        codes.select("*", F.posexplode(F.array(*[_segment(F.col("code"), s) for s in range(SEGMENTS)]))
-                     .alias("seg", "val")).repartition("seg", "val").sortWithinPartitions("seg", "val"), "mih-index")
+    entries = materialize(codes.select("*", _segments("code", words).alias("seg", "val"))
+                          .repartition("seg", "val").sortWithinPartitions("seg", "val"), "mih-index")
     active = materialize(queries.select(F.col("code").alias("q")).distinct(), "mih-active")
+    occupied = occupied_values(entries, segments)
+    distance = reduce(add, [F.bit_count(F.get("q", F.lit(w)).bitwiseXOR(F.get("code", F.lit(w)))) for w in range(words)])
+    weights = [F.bit_count(_segment("q", s).bitwiseXOR(_segment("code", s))) for s in range(segments)]
     best, finished = None, []
     first = Window.partitionBy("q").orderBy("dist", "low")
     for radius in range(SEGMENT_BITS + 1):
-        masks = _masks(radius)
-        probes = (active.select("q", F.posexplode(F.array(*[_segment(F.col("q"), s) for s in range(SEGMENTS)]))
-                                .alias("seg", "own"))
-                  .select("q", "seg", F.explode(F.transform(masks, lambda m: F.col("own").bitwiseXOR(m))).alias("val")))
-        found = probes.join(entries, ["seg", "val"])
+        near = near_values_udf(active.sparkSession, occupied, radius)
+        probes = active.select("q", _segments("q", words).alias("seg", "own")).select(
+            "q", "seg", F.explode(near("seg", "own")).alias("val"))
+        # the planner can't see how many rows an explode makes: never broadcast them
+        found = probes.hint("merge").join(entries, ["seg", "val"])
         # a code is taken at its first segment with the least difference only: no repeats, no shuffle to find them
-        weights = [F.bit_count(_segment(F.col("q").bitwiseXOR(F.col("code")), s)) for s in range(SEGMENTS)]
         is_first = F.lit(True)
         for s, w in enumerate(weights):
             is_first = is_first & F.when(F.col("seg") > s, w > radius).otherwise(w >= radius)
-        new = (found.where(is_first)
-               .select("q", "code", "n", "low", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("dist")))
+        new = found.where(is_first).select("q", "code", "n", "low", distance.alias("dist"))
         pool = new if best is None else best.unionByName(new)
         best = materialize(pool.withColumn("nth", F.row_number().over(first))
                            .where(F.col("nth") <= k + 1).drop("nth"), f"mih-best-{radius}")
-        covered = SEGMENTS * (radius + 1) - 1
+        covered = segments * (radius + 1) - 1
         # ids within the covered radius; k + 1 of them end a query (one may be the query itself)
         sure = (best.where(F.col("dist") <= covered).groupBy("q").agg(F.sum("n").alias("ids"))
                 .where(F.col("ids") >= k + 1).select("q"))
@@ -93,22 +152,23 @@ def search_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 break
         else:
             finished.append(best)
-    out = finished[0]
-    for more in finished[1:]:
-        out = out.unionByName(more)
-    return out.select("q", "code", "dist")
+    return reduce(DataFrame.unionByName, finished).select("q", "code", "dist")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, distance): for every query vector its ``k``
     nearest other ids by Hamming distance of the codes, ties by id.
 
-    Fewer than ``k`` other ids give fewer rows.  Queries with a null id or
-    vector give none, and so does an empty table.
+    Codes have a bit for every dimension of the longest vector; shorter
+    vectors have 0 bits beyond their end.  Fewer than ``k`` other ids give
+    fewer rows.  Queries with a null id or vector give none, and so does an
+    empty table.  Of rows that share an id the smallest code counts.  Other
+    columns are not read, whatever their names.
     """
-    index = materialize(distinct_codes(with_code(vectors, column), k), "mih-codes")
-    asked = with_code(queries, column)
-    near = search_codes(index, asked, k)
+    words = max(words_of(vectors, column), words_of(queries, column))
+    index = materialize(distinct_codes(with_code(vectors, words, column), k), "mih-codes")
+    asked = with_code(queries, words, column)
+    near = search_codes(index, asked, k, words)
     ids = near.join(index, "code").select("q", "dist", F.explode("ids").alias("vec_id"))
     nth = Window.partitionBy("q").orderBy("dist", "vec_id")
     lists = (ids.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= k + 1)
@@ -121,8 +181,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, column: str =
 
 
 ORACLE = f"""
-with c as (select vec_id, array_to_string([case when embedding[i] >= 0 then '1' else '0' end for i in range(1, {DIMS + 1})], '')::bit as b
-  from embeddings where vec_id is not null and embedding is not null),
+with w as (select max(len(embedding)) as width from embeddings),
+c as (select vec_id, array_to_string([case when embedding[i] >= 0 then '1' else '0' end for i in range(1, width + 1)], '')::bit as b
+  from embeddings, w where vec_id is not null and embedding is not null),
 p as (select q.vec_id as query_id, c.vec_id, bit_count(xor(q.b, c.b)) as distance
   from c q join c on q.vec_id <> c.vec_id where q.vec_id % {QUERY_STEP} = 0),
 r as (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from p)

@@ -8,7 +8,8 @@ from test_near_and_exact import brute_lines, brute_near
 from test_text_operators import brute_hits
 
 import corpus_pipeline
-from dailyseries.llm import mixing
+from dailyseries.llm import minhash, mixing
+from dailyseries.llm.common import materialize, release, scratch_mark, scratch_since
 from dailyseries.llm.queries import ORACLE, QUERIES
 
 SF0001 = "/root/testdata/sf0.001"
@@ -96,3 +97,17 @@ def test_every_stage_takes_awkward_and_empty_tables(spark, tmp_path):
 def test_registry():
     from __spark_entry__ import oracle_sql, queries
     assert set(QUERIES) < set(queries()) and "pipeline" in queries() and set(ORACLE) < set(oracle_sql())
+
+
+def test_older_lazy_results_survive_a_run(spark):
+    """A run frees the scratch of its own stages only."""
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    older = minhash.near_duplicates(docs)
+    n = corpus_pipeline.run(spark, SF0001).count()
+    assert 0 < n <= docs.count()
+    assert older.count() == docs.count()
+    mark = scratch_mark()
+    materialize(docs.limit(1), "own")
+    own = scratch_since(mark)
+    release(spark, own)
+    assert len(own) == 1 and scratch_since(mark) == [] and older.count() == docs.count()

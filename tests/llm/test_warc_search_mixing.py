@@ -6,6 +6,7 @@ import io
 import random
 import re
 
+import numpy as np
 import pytest
 from edge import awkward, frame
 
@@ -78,12 +79,14 @@ def brute_top(rows, queries, k):
     codes = {}
     for i, v in rows:
         if i is not None and v is not None:
-            c = sum(1 << d for d, x in enumerate(v[:64]) if x is not None and (x >= 0 or x != x))
-            c -= (c >> 63) << 64
+            bits = [x is not None and (x >= 0 or x != x) for x in v] + [False] * (128 - len(v))
+            c = [sum(1 << d for d in range(64) if bits[at + d]) for at in (0, 64)]
+            c = [x - ((x >> 63) << 64) for x in c]  # words are signed
             codes[i] = min(c, codes.get(i, c))
     out = []
     for q in sorted(queries & codes.keys()):
-        near = sorted((((codes[q] ^ c) & ((1 << 64) - 1)).bit_count(), i) for i, c in codes.items() if i != q)[:k]
+        near = sorted((sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(codes[q], c, strict=True)), i)
+                      for i, c in codes.items() if i != q)[:k]
         out += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
     return out
 
@@ -109,6 +112,27 @@ def test_top_k_of_few_or_no_rows(spark):
     assert [tuple(r) for r in hamming.top_k(df, df.where("vec_id = 1")).collect()] == [(1, 1, 2, 64)]
 
 
+def test_codes_have_a_bit_for_every_dimension(spark):
+    """Vectors that differ beyond dimension 64 only are told apart."""
+    r = random.Random(3)
+    one = [r.gauss(0, 1) for _ in range(64)]
+    rows = [(20 * i, one + [1.0 if d < i else -1.0 for d in range(64)]) for i in range(40)] + [(7, one)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hamming.top_k(df, df.where("vec_id % 20 = 0"), 3).collect()
+    assert sorted((x.query_id, x.rank, x.vec_id, x.distance) for x in got) == brute_top(rows, {i for i, _ in rows if i != 7}, 3)
+    assert [x.distance for x in got if x.query_id == 0 and x.rank == 1] == [0]  # 7 has no bit there either
+    assert [x.distance for x in got if x.query_id == 400] and min(x.distance for x in got if x.query_id == 400) == 1
+
+
+def test_occupied_values_are_those_of_the_index(spark):
+    r = random.Random(4)
+    for values in ([0], [65535], [32767, 32768, 32769, 1, 2], r.sample(range(1 << 16), 5000)):
+        rows = spark.createDataFrame([(s, v) for s in (0, 2) for v in values], "seg int, val int")
+        bits = hamming.occupied_values(rows, 3)
+        got = [np.flatnonzero(np.unpackbits(b)).tolist() for b in bits]
+        assert got == [sorted(values), [], sorted(values)]
+
+
 # ---------------------------------------------------------------------- mixing
 @pytest.mark.parametrize("weights", [mixing.TARGET, {"a": 0.9, "b": 0.05}, {f"s{i}": 1 for i in range(60)} | {"big": 60.0}, {"x": 1 / 3, "y": 1 / 7}])
 def test_every_prefix_of_the_schedule_is_within_one_block(weights):
