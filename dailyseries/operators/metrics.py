@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailyseries.plans.ranking import join_groups, quantile_row, running_sum
+from dailyseries.session import checkpoint_dir
 
 # fixed values: report bands and analysis cut-offs of the reference
 BANDS = ((0.9, "Excellent"), (0.8, "Good"), (0.7, "Fair"))
@@ -159,21 +160,53 @@ def performance_band(auc: Column) -> Column:
     return e.otherwise("Poor")
 
 
+def score_table(df: DataFrame, y: str = "y", p: str = "p", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+    """Rows per (score, label, predicted label) as ``_n``: all that the metrics of a
+    model need, in as many rows as there are distinct scores."""
+    return df.groupBy(*by, p, y, pred).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def evaluation_report(df: DataFrame, y: str = "y", p: str = "p", pred: str = "pred",
                       model_name: str = "Model", by: Sequence[str] = ()) -> DataFrame:
-    """AUC, score statistics, class analysis and summary in one row per group."""
+    """AUC, score statistics, class analysis and summary in one row per group.
+
+    The source is read once, for the score table; counts and means are weighted
+    sums over it, and AUC, median and deviation share one running sum over
+    its distinct scores.  A null score counts as a row, and as the lowest for
+    the AUC, and in no statistic of the scores."""
     by = list(by)
-    summ = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_samples"),
-        F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("positive_samples"),
-        F.sum(F.when(F.col(y) == 0, 1).otherwise(0)).cast("long").alias("negative_samples"),
-        (F.avg(F.when(F.col(y) == 1, 1.0).otherwise(0.0)) * 100).alias("positive_rate"))
-    parts = [roc_auc(df, y, p, by), score_stats(df, p, by), class_analysis(df, y, p, pred, by)]
-    out = summ
-    for part in parts:
-        out = join_groups(out, part, by)
-    return out.select(F.lit(model_name).alias("model_name"), "*",
-                      performance_band(F.col("auc_score")).alias("model_performance"))
+    checkpoint_dir(df.sparkSession)
+    table = score_table(df, y, p, pred, by).checkpoint(eager=True)
+    n, held = F.col("_n"), F.col(p).isNotNull()
+
+    def rows(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(0)).cast("long")
+
+    def mean_of(cond: Column) -> Column:
+        return _div(F.sum(F.when(cond, F.col(p) * n)), rows(cond & held), None)
+
+    total = F.sum("_n")
+    head = table.groupBy(*by).agg(
+        F.coalesce(total, F.lit(0)).alias("total_samples"), rows(F.col(y) == 1).alias("positive_samples"),
+        rows(F.col(y) == 0).alias("negative_samples"), (rows(F.col(y) == 1) / total * 100).alias("positive_rate"),
+        rows(held).alias("_k"), mean_of(held).alias("mean"), F.min(p).cast("double").alias("min"), F.max(p).cast("double").alias("max"),
+        mean_of(F.col(y) == 1).alias("true_positive_rate"), mean_of(F.col(y) == 0).alias("false_positive_rate"),
+        rows(F.col(pred) == 0).alias("pred_0_count"), rows(F.col(pred) == 1).alias("pred_1_count"),
+        (rows(F.col(pred) == 0) / total * 100).alias("zero_predictions_percentage"))
+    scores = table.groupBy(*by, p).agg(rows(F.col(y) == 1).alias("pos"), rows(F.col(y) == 0).alias("neg"), rows(held).alias("_n"))
+    cum = join_groups(running_sum(scores, p, ["neg", "_n"], by), head.select(*by, "_k", "mean"), by)
+    middle = [F.max(F.when((F.col("_n_before") <= k) & (k < F.col("_n_before") + n), F.col(p)))
+              for k in (F.floor((F.col("_k") - 1) / 2), F.ceil((F.col("_k") - 1) / 2))]
+    curve = cum.groupBy(*by).agg(
+        F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))).alias("_s"), F.sum("pos").alias("_tp"),
+        F.sum("neg").alias("_tn"), ((middle[0] + middle[1]) / 2).cast("double").alias("median"),
+        F.sqrt(_div(F.sum(n * (F.col(p) - F.col("mean")) * (F.col(p) - F.col("mean"))), F.max("_k"), None)).alias("std"))
+    auc = F.when((F.col("_tp") > 0) & (F.col("_tn") > 0), F.col("_s") / (F.col("_tp").cast("double") * F.col("_tn")))
+    out = join_groups(head, curve, by).withColumn("auc_score", auc)
+    return out.select(F.lit(model_name).alias("model_name"), *by, *[c for c in (
+        "total_samples", "positive_samples", "negative_samples", "positive_rate", "auc_score", "mean", "std", "min", "max",
+        "median", "true_positive_rate", "false_positive_rate", "pred_0_count", "pred_1_count", "zero_predictions_percentage")],
+        performance_band(F.col("auc_score")).alias("model_performance"))
 
 
 def prediction_analysis(df: DataFrame, p: str = "p", by: Sequence[str] = ()) -> DataFrame:

@@ -21,21 +21,22 @@ import math
 import random
 import warnings
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailyseries.operators.metrics import roc_auc
 from dailyseries.operators.quality import ensure_numeric
+from dailyseries.operators.trials import Ledger, cross_validate, packed, ranked, run_fits
+from dailyseries.session import scratch_path
 
 SEED = 42
 # fixed values: the reference's default boosting grid
@@ -104,40 +105,107 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
+def weighted_vectors(df: DataFrame, features: Sequence[str], label: str, split_col: str = "split",
+                     weighted: bool = True) -> DataFrame:
+    """(features, label, _w, split): what the learners read, without the columns
+    the features came from."""
+    data = class_weights(df, label, split_col) if weighted else df.withColumn("_w", F.lit(1.0))
+    return _assembler(features).transform(data).select("features", label, "_w", split_col)
+
+
+def node_table(spark: SparkSession, model) -> DataFrame:
+    """The fitted trees as a table, read back from the saved model: (tree, node,
+    prediction, gain, left, right, feature); leaves have feature -1.
+
+    Node numbers go by preorder, as the learners' own leaf numbers do."""
+    path = scratch_path(spark, "forest")
+    model.write().overwrite().save(path)
+    rows = spark.read.parquet(f"{path}/data")
+    return rows.select(F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"),
+                       F.col("nodeData.prediction").alias("prediction"), F.col("nodeData.gain").alias("gain"),
+                       F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+                       F.col("nodeData.split.featureIndex").alias("feature"))
+
+
+def staged_margins(model, vectors: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(round, keep..., margin): every row's margin after each boosting round.
+
+    One pass over ``vectors``: the learner reports the leaf that a row reaches in
+    each tree, and the margins are the running sums of the leaves' weighted
+    predictions -- the sums that the first trees alone would give."""
+    spark = vectors.sparkSession
+    leaves = node_table(spark, model).where("left < 0").orderBy("tree", "node").select("tree", "prediction").collect()
+    values: list[list[float]] = [[] for _ in model.trees]  # as many numbers as the model has leaves
+    for r in leaves:
+        values[r["tree"]].append(r["prediction"] * model.treeWeights[r["tree"]])
+    table = spark.createDataFrame([(values,)], "v array<array<double>>").scalar()
+    start = F.struct(F.lit(0.0).alias("s"), F.array().cast("array<double>").alias("all"))
+
+    def add(acc, step):
+        s = acc["s"] + step
+        return F.struct(s.alias("s"), F.concat(acc["all"], F.array(s)).alias("all"))
+
+    reached = F.zip_with(F.col("_v"), vector_to_array(F.col("_leaf")), lambda v, leaf: F.get(v, leaf.cast("int")))
+    margins = F.aggregate(reached, start, add, lambda acc: acc["all"])
+    at = model.copy().setLeafCol("_leaf").transform(vectors).withColumn("_v", table)
+    return at.select(*keep, F.posexplode(margins).alias("_i", "margin")).select(
+        (F.col("_i") + 1).alias("round"), *keep, "margin")
+
+
+def truncated(model, rounds: int):
+    """The boosted model of the first ``rounds`` trees; nothing is fitted again."""
+    if rounds >= model.getNumTrees:
+        return model
+    gateway, java = SparkContext._gateway, model._java_obj
+    trees, weights = java.trees(), java.treeWeights()
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    some, their = gateway.new_array(kind, rounds), gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        some[i], their[i] = trees[i], weights[i]
+    first = type(model)(getattr(gateway.jvm, java.getClass().getName())(java.uid(), some, their, java.numFeatures(),
+                                                                       java.numClasses()))
+    model._copyValues(first)
+    first._transfer_params_to_java()
+    return first
+
+
+def best_round(scores: Sequence[float | None], patience: int) -> int:
+    """Rounds to keep: the first best score found before ``patience`` rounds pass
+    without a better one; all rounds if no score is defined."""
+    best, at = None, len(scores)
+    for i, s in enumerate(scores):
+        if s is not None and (best is None or s > best):
+            best, at = s, i + 1
+        elif best is not None and i + 1 - at >= patience:
+            break
+    return at
+
+
 def train_gbt(df: DataFrame, features: Sequence[str], label: str, split_col: str = "split",
               params: Mapping | None = None, max_iter: int = 300, patience: int = 30,
               weighted: bool = True) -> tuple[PipelineModel, int]:
-    """M1: boosted trees on the train rows with class weights; patience-style
-    early stopping on the validation rows.
-
-    Spark's own ``validationIndicatorCol`` stops at the first round without a
-    tolerance gain, so instead: fit ``max_iter`` rounds, read the validation
-    log-loss of every prefix (``evaluateEachIteration``), keep the best
-    prefix found before ``patience`` rounds pass without improvement, and
-    refit that many rounds with the same seed (the first trees coincide).
-    Returns (model, rounds kept).
+    """M1: boosted trees on the train rows with class weights, stopped on the
+    validation rows' AUC.
+
+    One fit of ``max_iter`` rounds; the validation rows' margins after every
+    round give the exact AUC of all rounds in one grouped job, the first round
+    that no later one beats within ``patience`` rounds counts, and the
+    list of trees is cut there.  Without validation rows, or where they
+    have one class only, all rounds stay.  Returns (model, rounds kept).
     """
     ensure_numeric(df, features)
-    data = class_weights(df, label, split_col) if weighted else df.withColumn("_w", F.lit(1.0))
-    asm = _assembler(features)
     sp = {"maxIter": max_iter, "seed": SEED, **spark_params(params or {})}
     gbt = GBTClassifier(labelCol=label, featuresCol="features", weightCol="_w", **sp)
-    train = asm.transform(data.where(F.col(split_col) == "train"))
-    model = gbt.fit(train)
-    rounds = model.getNumTrees
-    val = asm.transform(data.where(F.col(split_col) == "val"))
-    if patience and val.limit(1).count():
-        losses = model.evaluateEachIteration(val)
-        best, best_i = float("inf"), 0
-        for i, loss in enumerate(losses):
-            if loss < best - 1e-12:
-                best, best_i = loss, i
-            elif i - best_i >= patience:
-                break
-        rounds = best_i + 1
-        if rounds < model.getNumTrees:
-            model = gbt.copy({gbt.maxIter: rounds}).fit(train)
-    return PipelineModel(stages=[asm, model]), rounds
+    with packed(weighted_vectors(df, features, label, split_col, weighted)) as data:
+        model = gbt.fit(data.where(F.col(split_col) == "train"))
+        rounds = model.getNumTrees
+        val = data.where(F.col(split_col) == "val")
+        if patience and not val.isEmpty():
+            staged = staged_margins(model, val, [label])
+            aucs = {r["round"]: r["auc_score"] for r in roc_auc(staged, label, "margin", by=["round"]).collect()}
+            rounds = best_round([aucs[i + 1] for i in range(model.getNumTrees)], patience)
+            model = truncated(model, rounds)
+    return PipelineModel(stages=[_assembler(features), model]), rounds
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
@@ -168,6 +236,20 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
               .orderBy(F.col("importance").desc(), "feature"))
 
 
+def split_counts(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """O5 as the reference's boosting library counts it: how many splits of the
+    fitted trees use each feature, most first; features without a split
+    have 0."""
+    tree = model.stages[-1]
+    spark = SparkSession.builder.getOrCreate()
+    names = spark.createDataFrame(list(enumerate(features)), "feature_index int, feature string")
+    used = (node_table(spark, tree).where("left >= 0").groupBy(F.col("feature").alias("feature_index"))
+            .agg(F.count("*").alias("importance")))
+    return (names.join(used, "feature_index", "left")
+            .select("feature", F.coalesce("importance", F.lit(0)).alias("importance"))
+            .orderBy(F.col("importance").desc(), "feature"))
+
+
 def grid_from(grid: Mapping[str, Sequence]) -> list[dict]:
     keys = list(grid)
     out = [{}]
@@ -190,37 +272,68 @@ def _fold_count(df: DataFrame, fold_col: str) -> int:
     return int(df.agg(F.max(fold_col)).first()[0]) + 1
 
 
+# fixed values: column names of the reference's search results
+RANKED = {"rank": "rank_test_score", "index": "grid_index", "mean": "mean_test_score", "std": "std_test_score"}
+
+
 def grid_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
                 grid: Mapping[str, Sequence] | None = None, base: Mapping | None = None,
-                parallelism: int = 4) -> tuple[DataFrame, list[dict], PipelineModel]:
-    """M2: cross-validated AUC of every grid point (folds given by
+                parallelism: int = 4, ledger: Ledger | None = None) -> tuple[DataFrame, list[dict], PipelineModel]:
+    """M2/O3: cross-validated AUC of every grid point (folds given by
     ``fold_col``, e.g. ``stratified_folds``); returns the ranked table of all
-    points (rank, params, mean, std), the ranked parameter dicts and the best
-    model refitted on all rows (assembler + trees).
+    points (rank, index, one ``param_*`` column per parameter, mean, std), the
+    ranked parameter dicts and the best model refitted on all rows
+    (assembler + trees).
 
     Positive rows are weighted as in ``train_gbt``, over all rows of ``df``;
     without ``base`` 300 rounds are fitted.  Points that map to the same
-    Spark parameters are fitted once and share their scores."""
-    grid = grid or DEFAULT_GRID
-    combos = grid_from(grid)
+    Spark parameters are fitted once and share their scores.  Fits that the
+    ``ledger`` holds are not fitted again, so a search that was stopped goes
+    on where it was; without one, a fresh ledger is used."""
+    combos = grid_from(grid or DEFAULT_GRID)
     est = GBTClassifier(labelCol=label, featuresCol="features", weightCol="_w", seed=SEED,
                         **{"maxIter": 300, **spark_params(base or {})})
-    distinct, at = _distinct(combos)
-    maps = [{getattr(est, k): v for k, v in sp.items()} for sp in distinct]
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        numFolds=_fold_count(df, fold_col), parallelism=parallelism, seed=SEED)
     data = class_weights(df.withColumn(fold_col, F.col(fold_col).cast("int")), label, split_col=None)
-    m = cv.fit(_assembler(features).transform(data))
-    rows = [(i, str(combos[i]), float(m.avgMetrics[at[i]]), float(m.stdMetrics[at[i]])) for i in range(len(combos))]
-    order = sorted(range(len(rows)), key=lambda i: (-rows[i][2], i))
-    ranked = [(rank + 1,) + rows[i] for rank, i in enumerate(order)]
-    ss = df.sparkSession
-    table = ss.createDataFrame(ranked, "rank_test_score int, grid_index int, params string, "
-                                       "mean_test_score double, std_test_score double")
-    best = PipelineModel(stages=[_assembler(features), m.bestModel])
-    return table, [combos[i] for i in order], best
+    vectors = _assembler(features).transform(data).select("features", label, "_w", fold_col)
+    table, at = _searched(vectors, est, combos, ev, fold_col, _fold_count(df, fold_col), ledger, [label, *features],
+                          parallelism, RANKED)
+    order = [combos[r[RANKED["index"]]] for r in table.collect()]  # one row per point
+    distinct, number = _distinct(combos)
+    best = distinct[number[combos.index(order[0])]]
+    model = est.copy({est.getParam(k): v for k, v in best.items()}).fit(vectors)
+    return table, order, PipelineModel(stages=[_assembler(features), model])
+
+
+def _searched(vectors: DataFrame, est, points: Sequence[Mapping], evaluator, fold_col: str, folds: int,
+              ledger: Ledger | None, key: object, parallelism: int, names: Mapping[str, str],
+              ascending: bool = False) -> tuple[DataFrame, list[str]]:
+    """The ranked table of a search and the trial of each point."""
+    spark = vectors.sparkSession
+    ledger = ledger or Ledger(spark, scratch_path(spark, "ledger"))
+    distinct, at = _distinct(points)
+    trials = cross_validate(vectors, est, distinct, evaluator, fold_col, folds, ledger, key, parallelism)
+    of_point = [trials[n] for n in at]
+    return ranked(ledger, of_point, points, folds, names, ascending), of_point
+
+
+def topk_refit(df: DataFrame, features: Sequence[str], label: str, searched: DataFrame, k: int = 10,
+               max_iter: int = 300, patience: int = 30, parallelism: int = 4) -> DataFrame:
+    """M6: the ``k`` best points of a search's ranked table fitted again with
+    early stopping: their parameter columns, mean score, rounds kept,
+    validation AUC and per cent of validation rows predicted 0.
+
+    The table alone is read; the search itself doesn't run again."""
+    top = searched.orderBy(RANKED["rank"]).limit(k).collect()
+    named = [c for c in searched.columns if c.startswith("param_")]
+    points = [{c.removeprefix("param_"): r[c] for c in named if r[c] is not None} for r in top]
+    fits = fit_many(df, features, label, points, max_iter=max_iter, patience=patience, parallelism=parallelism)
+    ev = evaluate_models(df, {str(r[RANKED["rank"]]): m for r, (m, _) in zip(top, fits, strict=True)}, label)
+    rounds = df.sparkSession.createDataFrame([(str(r[RANKED["rank"]]), n) for r, (_, n) in zip(top, fits, strict=True)],
+                                             "model_name string, rounds int")
+    table = searched.select(F.col(RANKED["rank"]).cast("string").alias("model_name"), RANKED["rank"], *named, RANKED["mean"])
+    return table.join(ev, "model_name").join(rounds, "model_name").drop("model_name")
 
 
 def sample_params(space: Mapping[str, Sequence], n: int, seed: int = SEED) -> list[dict]:
@@ -238,25 +351,22 @@ def sample_params(space: Mapping[str, Sequence], n: int, seed: int = SEED) -> li
 
 def random_search_regression(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
                              space: Mapping[str, Sequence], n_iter: int = 30,
-                             parallelism: int = 4) -> DataFrame:
-    """M3: seeded random search of boosted regression trees, k-fold RMSE."""
+                             parallelism: int = 4, ledger: Ledger | None = None) -> DataFrame:
+    """M3: seeded random search of boosted regression trees, k-fold RMSE;
+    ``ledger`` as in ``grid_search``."""
     draws = sample_params(space, n_iter)
     est = GBTRegressor(labelCol=label, featuresCol="features", seed=SEED)
-    distinct, at = _distinct(draws)
-    maps = [{getattr(est, k): v for k, v in sp.items()} for sp in distinct]
     ev = RegressionEvaluator(labelCol=label, metricName="rmse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        numFolds=_fold_count(df, fold_col), parallelism=parallelism, seed=SEED)
-    m = cv.fit(_assembler(features).transform(df.withColumn(fold_col, F.col(fold_col).cast("int"))))
-    rows = [(i, str(draws[i]), float(m.avgMetrics[at[i]]), float(m.stdMetrics[at[i]])) for i in range(len(draws))]
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][2], i))
-    return df.sparkSession.createDataFrame([(r + 1,) + rows[i] for r, i in enumerate(order)],
-                                           "rank_test_score int, draw int, params string, mean_rmse double, std_rmse double")
+    vectors = (_assembler(features).transform(df.withColumn(fold_col, F.col(fold_col).cast("int")))
+               .select("features", label, fold_col))
+    names = {"rank": "rank_test_score", "index": "draw", "mean": "mean_rmse", "std": "std_rmse"}
+    return _searched(vectors, est, draws, ev, fold_col, _fold_count(df, fold_col), ledger, [label, *features], parallelism,
+                     names, ascending=True)[0]
 
 
 def fit_many(df: DataFrame, features: Sequence[str], label: str, param_sets: Sequence[Mapping],
              split_col: str = "split", max_iter: int = 50, patience: int = 10,
-             parallelism: int = 4) -> list[tuple[PipelineModel, int]]:
+             parallelism: int = 4, weighted: bool = True) -> list[tuple[PipelineModel, int]]:
     """Fit several boosted models concurrently (driver threads each launch
     cluster jobs, like CrossValidator's ``parallelism``).  Sets that map to the
     same Spark parameters share one fit."""
@@ -264,9 +374,8 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, param_sets: Seq
     first = [param_sets[at.index(n)] for n in range(len(distinct))]
 
     def one(p):
-        return train_gbt(df, features, label, split_col, p, max_iter=max_iter, patience=patience)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        fits = list(ex.map(one, first))
+        return train_gbt(df, features, label, split_col, p, max_iter=max_iter, patience=patience, weighted=weighted)
+    fits = run_fits(df.sparkSession, first, one, parallelism)
     return [fits[n] for n in at]
 
 
@@ -274,10 +383,11 @@ def fit_members(df: DataFrame, features: Sequence[str], members: Mapping, split_
                 parallelism: int = 4) -> dict[str, PipelineModel]:
     """M7: every estimator of ``members`` fitted on the train rows, by name."""
     ensure_numeric(df, features)
-    train = df.where(F.col(split_col) == "train")
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        fits = ex.map(lambda e: Pipeline(stages=[_assembler(features), e]).fit(train), members.values())
-        return dict(zip(members, fits))
+    asm = _assembler(features)
+    label = next(iter(members.values())).getLabelCol()
+    with packed(asm.transform(df.where(F.col(split_col) == "train")).select("features", label)) as train:
+        fits = run_fits(df.sparkSession, list(members.values()), lambda e: e.fit(train), parallelism)
+    return {name: PipelineModel(stages=[asm, m]) for name, m in zip(members, fits, strict=True)}
 
 
 def evaluate_models(df: DataFrame, models: Mapping[str, PipelineModel], label: str,
@@ -316,22 +426,29 @@ def fold_fit_score(df: DataFrame, features: Sequence[str], label: str, estimator
     fold's rows.  Returns (fold, keep..., y, p) of all folds -- scored by ONE
     grouped metric job afterwards.  Several estimators (a sequence of
     classifiers) are fitted each and give the mean of their probabilities."""
-    asm = _assembler(features)
     folds = sorted(r[0] for r in df.where(F.col(fold_col).isNotNull()).select(fold_col).distinct().collect())
-
-    def one(k: int) -> DataFrame:
-        train, test = df.where(F.col(train_from_col) <= k), df.where(F.col(fold_col) == k)
-        if isinstance(estimator, Sequence):
-            s = soft_vote(test, [Pipeline(stages=[asm, e.copy()]).fit(train) for e in estimator])
-            return s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), "p")
-        s = Pipeline(stages=[asm, estimator.copy()]).fit(train).transform(test)
-        pcol = positive_proba() if "probability" in s.columns else F.col("prediction")
-        return s.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), pcol.alias("p"))
-
     if not folds:
         raise ValueError(f"no rows have a fold in {fold_col!r}")
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:  # one fit per fold
-        return reduce(DataFrame.unionByName, ex.map(one, folds))
+    members = list(estimator) if isinstance(estimator, Sequence) else [estimator]
+    asm = _assembler(features)
+    jobs = [(k, m) for k in folds for m in range(len(members))]
+    with packed(asm.transform(df).select("features", label, train_from_col)) as vectors:
+        def one(job: tuple[int, int]):
+            k, m = job
+            return members[m].copy().fit(vectors.where(F.col(train_from_col) <= k))
+
+        # fits of different folds and members run beside each other
+        fits = dict(zip(jobs, run_fits(df.sparkSession, jobs, one, parallelism), strict=True))
+    out = []
+    for k in folds:
+        test, models = df.where(F.col(fold_col) == k), [PipelineModel(stages=[asm, fits[k, m]]) for m in range(len(members))]
+        if isinstance(estimator, Sequence):
+            scored = soft_vote(test, models)
+        else:
+            scored = models[0].transform(test)
+            scored = scored.withColumn("p", positive_proba() if "probability" in scored.columns else F.col("prediction"))
+        out.append(scored.select(F.lit(k).alias("fold"), *keep, F.col(label).alias("y"), "p"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def save_model(model: PipelineModel | None, path: str) -> None:

@@ -1,6 +1,6 @@
 """Feature preparation fitted on the training rows only.
 
-Each ``fit_*`` is ONE aggregation over the training rows that yields one
+Each ``fit_*`` (but the mode) aggregates the training rows to one
 small row of parameters (like any Spark ML ``fit``); the matching
 transform applies them as literals in a single projection over all rows,
 so there is no join and no second pass per column.
@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailyseries.functions.scalar import SEASONS, inf_to_null, numeric_columns
-from dailyseries.plans.ranking import exact_quantiles
+from dailyseries.plans.selection import column_quantiles
 
 # fixed values: one-hot categories known up front (all emitted even if absent)
 KNOWN_CATEGORIES = {"season": SEASONS}
@@ -34,24 +36,47 @@ def _check_fit(params: dict, on_empty: str, what: str) -> dict:
     return params
 
 
-def column_stats(df: DataFrame, columns: Sequence[str], stats: Sequence[str]) -> dict[str, dict]:
-    """Per-column statistics in ONE job over a long (column, value) frame.
+SHIFT_ROWS = 100  # rows looked at for a value near each column's mean
+
 
-    Unpivoting keeps the aggregate to a handful of functions grouped by
-    column name (map-side combined: the shuffle carries one row per column
-    per task), however many feature columns there are.  ``stats`` from
-    mean, count, rows, var_pop, min, max.
+def column_stats(df: DataFrame, columns: Sequence[str], stats: Sequence[str]) -> dict[str, dict]:
+    """Per-column statistics of the non-null values in ONE pass over the rows.
+
+    All columns are one vector, and the aggregation's buffers are arrays of one
+    number per column (``Summarizer``: mean and squared deviations are merged,
+    not sums of squares), so a row stays a row, however many columns there are.
+    A null counts as some value near the column's mean, and a second vector
+    of 0 and 1 says how often that was so; both are taken out of the result.
+    ``stats`` from mean, count, rows, var_pop, min, max.
     """
     columns = list(columns)
     if not columns:
         return {}
-    fns = {"mean": F.avg("value"), "count": F.count("value"), "rows": F.count(F.lit(1)),
-           "var_pop": F.var_pop("value"), "min": F.min("value"), "max": F.max("value")}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    got = {r["column"]: r.asDict() for r in
-           long.groupBy("column").agg(*[fns[s].alias(s) for s in stats]).collect()}  # one row per column
-    empty = {s: None for s in stats}
-    return {c: got.get(c, empty) for c in columns}
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    some = rows.limit(SHIFT_ROWS).collect()
+    if not some:
+        return {c: {s: 0 if s in ("count", "rows") else None for s in stats} for c in columns}
+    near = [next((v for v in column if v is not None), 0.0) for column in zip(*some, strict=True)]
+    vectors = rows.select(
+        array_to_vector(F.array(*[F.coalesce(F.col(c) - F.lit(s), F.lit(0.0)) for c, s in zip(columns, near)])).alias("x"),
+        array_to_vector(F.array(*[F.col(c).isNotNull().cast("double") for c in columns])).alias("held"),
+        *[array_to_vector(F.array(*[F.coalesce(F.col(c), F.lit(end)) for c in columns])).alias(n)
+          for n, end in (("low", float("inf")), ("high", float("-inf")))])
+    got = vectors.agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col("x")).alias("x"),
+        Summarizer.mean(F.col("held")).alias("held"), Summarizer.min(F.col("low")).alias("low"),
+        Summarizer.max(F.col("high")).alias("high")).first()
+    n, out = got["x"]["count"], {}
+    for i, c in enumerate(columns):
+        k = round(got["held"][i] * n)
+        one = {"rows": n, "count": k, "mean": None, "var_pop": None, "min": None, "max": None}
+        if k:
+            away = got["x"]["mean"][i] * n / k  # mean of the values, from the stand-in for nulls
+            low, high = got["low"][i], got["high"][i]
+            spread = got["x"]["variance"][i] * (n - 1) - k * (n - k) / n * away ** 2
+            one |= {"mean": near[i] + away, "var_pop": 0.0 if low == high else max(0.0, spread / k), "min": low, "max": high}
+        out[c] = {s: one[s] for s in stats}
+    return out
 
 
 def fit_impute(df: DataFrame, columns: Sequence[str], strategy: str = "mean",
@@ -63,7 +88,7 @@ def fit_impute(df: DataFrame, columns: Sequence[str], strategy: str = "mean",
         st = column_stats(tr, columns, ["mean"])
         params = {c: st[c]["mean"] for c in columns}
     elif strategy == "median":
-        params = _long_quantile(tr, columns, 0.5)
+        params = column_quantiles(tr, columns, 0.5)
     elif strategy == "most_frequent":
         params = _long_mode(tr, columns)
     else:
@@ -78,12 +103,6 @@ def _long(tr: DataFrame, columns: Sequence[str]) -> DataFrame:
               .where(F.col("value").isNotNull()))
 
 
-def _long_quantile(tr: DataFrame, columns: Sequence[str], q: float) -> dict:
-    res = exact_quantiles(_long(tr, columns), "value", [q], by=["column"])
-    got = {r["column"]: r["value"] for r in res.collect()}  # one row per column
-    return {c: got.get(c) for c in columns}
-
-
 def _long_mode(tr: DataFrame, columns: Sequence[str]) -> dict:
     counts = _long(tr, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("column").agg(

@@ -1,11 +1,12 @@
 """Chronological splits and validation folds.
 
-A split only needs its cut points.  So the order columns alone (a narrow
-frame) are ranked with ``global_row_number`` (distributed, checkpointed),
-the few rows sitting at the cut positions are fetched, and every row is
-assigned by a lexicographic comparison against them -- a plain predicate
-on the wide frame: no join, no wide checkpoint, no single-task window.
-Per-series splits use ``row_number`` over the series window instead.
+A split only needs its cut points.  So the rows at the cut positions are found
+by counting (``plans.selection``: rows per bin, then inside the boundary bins;
+nothing is sorted), and every row is assigned by a lexicographic comparison
+against them -- a plain predicate on the wide frame: no join, no checkpoint,
+no single-task window.  Order columns that can't be counted on (text, reals)
+are ranked with ``global_row_number`` instead.
+Per-series splits use ``row_number`` over the series window.
 
 Sizes follow the reference exactly: ``int(n * ratio)`` in Python float
 arithmetic, scikit-learn's fold sizes for k-fold, stratified k-fold and
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from dailyseries.operators.windows import KEY, TIME
 from dailyseries.plans.ranking import global_row_number
+from dailyseries.plans.selection import Selection, countable
 
 
 def positions(df: DataFrame, order_cols: Sequence[str] = (TIME, KEY), per_series: bool = False,
@@ -47,6 +49,25 @@ def _int_mul(n: Column, ratio: float) -> Column:
     return F.floor(n.cast("double") * F.lit(float(ratio)))
 
 
+class _Ranked:
+    """:class:`Selection` for order columns of any type, by a distributed rank."""
+
+    def __init__(self, df: DataFrame, columns: Sequence[str]):
+        self.columns, self.types = list(columns), dict(df.dtypes)
+        self.ranked, self.n = global_row_number(df.select(*self.columns), self.columns, name="_rn")
+        null = reduce(or_, [F.col(c).isNull() for c in self.columns])
+        bad = self.ranked.groupBy(*self.columns).count().where((F.col("count") > 1) | null).limit(1).collect()
+        if bad:
+            raise ValueError(f"order columns {self.columns} must be unique and not null; found {bad[0]}")
+
+    def rows(self, positions: Sequence[int]) -> dict[int, tuple]:
+        want = [int(p) + 1 for p in positions]
+        return {r["_rn"] - 1: tuple(r[c] for c in self.columns) for r in self.ranked.where(F.col("_rn").isin(want)).collect()}
+
+    def values(self, row: Sequence) -> list[Column]:
+        return [F.lit(v).cast(self.types[c]) for c, v in zip(self.columns, row, strict=True)]
+
+
 class Cuts:
     """Rows at given 0-based positions of a total order, for predicates.
 
@@ -56,20 +77,16 @@ class Cuts:
 
     def __init__(self, df: DataFrame, order_cols: Sequence[str]):
         self.order_cols = list(order_cols)
-        self.types = dict(df.dtypes)
-        self.ranked, self.n = global_row_number(df.select(*self.order_cols), self.order_cols, name="_rn")
-        null = reduce(or_, [F.col(c).isNull() for c in self.order_cols])
-        bad = self.ranked.groupBy(*self.order_cols).count().where((F.col("count") > 1) | null).limit(1).collect()
-        if bad:
-            raise ValueError(f"order columns {self.order_cols} must be unique and not null; found {bad[0]}")
+        kind = Selection if countable(df, self.order_cols) else _Ranked
+        self.order = kind(df, self.order_cols)
+        self.n = self.order.n
         self._rows: dict[int, tuple] = {}
 
     def fetch(self, positions: Sequence[int]) -> None:
-        """Fetch the rows at ``positions``; as many as the caller's folds, not as the data."""
-        want = sorted({int(p) + 1 for p in positions if 0 <= p < self.n} - set(self._rows))
+        """Find the rows at ``positions``; as many as the caller's folds, not as the data."""
+        want = sorted({int(p) for p in positions if 0 <= p < self.n} - set(self._rows))
         if want:
-            for r in self.ranked.where(F.col("_rn").isin(want)).collect():
-                self._rows[r["_rn"]] = tuple(r[c] for c in self.order_cols)
+            self._rows |= self.order.rows(want)
 
     def row(self) -> Column:
         return F.struct(*[F.col(c).alias(c) for c in self.order_cols])
@@ -77,8 +94,7 @@ class Cuts:
     def point(self, position: int) -> Column:
         """The order columns at ``position`` (0 <= position < n)."""
         self.fetch([position])
-        return F.struct(*[F.lit(v).cast(self.types[c]).alias(c)
-                          for c, v in zip(self.order_cols, self._rows[position + 1])])
+        return F.struct(*[v.alias(c) for c, v in zip(self.order_cols, self.order.values(self._rows[position]))])
 
     def before(self, position: int) -> Column:
         """Predicate: the row's position is < ``position``."""

@@ -234,8 +234,13 @@ def excl_today_cols(w: WindowSpec) -> dict[str, Column]:
 
 
 def monthly_climatology_col(col: str = "precipitation_sum", key: str = KEY, time: str = TIME) -> Column:
-    """The series' mean of ``col`` over all rows of the same calendar month."""
-    return F.avg(col).over(Window.partitionBy(key, F.month(time)))
+    """The series' mean of ``col`` over all rows of the same calendar month.
+
+    Twelve conditional means over the series, of which a row picks its month's:
+    the series' own partition serves, which the other windows use as well."""
+    series = Window.partitionBy(key)
+    means = [F.avg(F.when(F.month(time) == m, F.col(col))).over(series) for m in range(1, 13)]
+    return F.get(F.array(*means), F.month(time) - 1)
 
 
 def climatology_anomaly_col(w: WindowSpec, col: str = "precipitation_sum",

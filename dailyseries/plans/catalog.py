@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailyseries.plans import q_explore, q_metrics, q_models, q_pipeline, q_sources, q_windows  # noqa: F401
+from dailyseries.plans import q_explore, q_metrics, q_models, q_pipeline, q_scoring, q_sources, q_windows  # noqa: F401
 from dailyseries.plans.registry import EXACT, ORACLE, QUERIES
 
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,12 +71,35 @@ def build_features(dw: DataFrame, task: str = "regression", target_name: str | N
     return win.series_frame(df, stage, key, time, back=29, strategy=strategy), target
 
 
+def known_features(dw: DataFrame, task: str = "classification", key: str = KEY, time: str = TIME) -> DataFrame:
+    """Every row of ``dw`` with the features that are known on its day; other
+    columns pass through.  No target is needed and no row goes, so new rows
+    get what rows of the same history got when a model was fitted.
+
+    The regression task's lags are those of the 3-day sum that is known then:
+    the sum of the last three days, and the one before it."""
+    if task not in ("regression", "classification"):
+        raise ValueError("task_type must be 'regression' or 'classification'")
+
+    def stage(w):
+        if task == "regression":
+            x = "precipitation_sum"
+            sums = {n: sum((F.lag(x, n - 1 + i).over(w) for i in (1, 2)), F.lag(x, n - 1).over(w)) for n in (1, 2)}
+            out = {f"lag{n}": s for n, s in sums.items()}
+        else:
+            out = win.lag_cols(w, "rain_sum", (1, 2, 3, 7))
+        return out | win.rolling_precip_cols(w) | feat.advanced_cols(w)
+
+    return win.series_frame(feat.temporal_features(dw, time=time), stage, key, time, back=30)
+
+
 def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str | None = None,
                      keep_columns: Sequence[str] | None = None, leak_safe: bool = True,
                      train_ratio: float = 0.7, val_ratio: float = 0.15, impute_strategy: str = "mean",
                      scale_method: str = "standard", key: str = KEY, time: str = TIME,
                      persist: bool = True, strategy: str = "series",
-                     persisted: list[DataFrame] | None = None) -> tuple[DataFrame, list[str], str]:
+                     persisted: list[DataFrame] | None = None,
+                     sparse: Sequence[str] = ()) -> tuple[DataFrame, list[str], str]:
     """Returns (table with split/target/features, feature names, target name).
 
     The window stage is persisted (to executor disk: a wide feature frame
@@ -83,6 +107,9 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     there between queries) before the fit jobs -- the one-hot categories
     and the impute/scale statistics -- read it; a lost block is recomputed
     from lineage.
+    Columns of ``dw`` in ``sparse`` may have any number of categories: each comes
+    out as one scaled sparse vector ``{column}_onehot`` beside the features,
+    fitted on the training rows and never filled in.
     Frames that were persisted are appended to ``persisted``, for the caller
     to ``unpersist`` when done.
     """
@@ -107,7 +134,7 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     else:
         df = prep.one_hot(df, cats)
         df = spl.chrono_split(df, train_ratio, val_ratio, order_cols=(time, key), key=key, time=time, cuts=cuts)
-    features = [c for c in df.columns if c not in (key, time, target, "split")]
+    features = [c for c in df.columns if c not in (key, time, target, "split", *sparse)]
     from dailyseries.functions.scalar import inf_to_null
     df = inf_to_null(df, features)
     if impute_strategy == "mean":  # one fit pass for both steps (X4)
@@ -116,4 +143,9 @@ def feature_pipeline(dw: DataFrame, task: str = "regression", target_name: str |
     else:
         df = prep.impute(df, features, impute_strategy, "split")
         df = prep.scale(df, features, scale_method, "split")
-    return df.select(key, time, "split", target, *features), features, target
+    vectors = [f"{c}_onehot" for c in sparse]
+    if sparse:
+        from dailyseries.operators.preprocess import sparse_one_hot
+        train = df.where(F.col("split") == "train")
+        df = PipelineModel(stages=[s for c, v in zip(sparse, vectors) for s in sparse_one_hot(train, c, v)]).transform(df)
+    return df.select(key, time, "split", target, *features, *vectors), features, target

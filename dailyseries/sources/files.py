@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from dailyseries.functions.height import height_to_cm
 from dailyseries.session import path_exists
+from dailyseries.sources.quoted import has_quoted_newlines, physical_lines, read_quoted_csv
 
 # fixed values: pandas' default missing-value tokens
 PANDAS_NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -38,15 +39,21 @@ def _list(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
 
 
 def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] = (),
-                   na_values: Sequence[str] = PANDAS_NA, multi_line: bool = True) -> DataFrame:
+                   na_values: Sequence[str] = PANDAS_NA, multi_line: bool | None = None) -> DataFrame:
     """Read a headed latin-1 CSV as text, null the NA tokens, then give each
     column the narrowest of boolean / bigint / double / string in ONE aggregation.
 
-    Newlines inside quoted fields are read right, at the price of reading each
-    file in one task; ``multi_line=False`` keeps files splittable where no
-    field holds a newline."""
-    raw = (spark.read.option("header", True).option("encoding", "ISO-8859-1").option("multiLine", multi_line)
-           .option("inferSchema", False).option("escape", '"').csv(path))
+    Files are read in splits.  Where a first pass finds a record that goes over
+    a line's end (a newline inside a quoted field), records are put together
+    from the splits (``sources.quoted``); ``multi_line`` says beforehand whether
+    there are such records."""
+    if multi_line is None:
+        multi_line = has_quoted_newlines(physical_lines(spark, path))
+    if multi_line:
+        raw = read_quoted_csv(spark, path)
+    else:
+        raw = (spark.read.option("header", True).option("encoding", "ISO-8859-1")
+               .option("inferSchema", False).option("escape", '"').csv(path))
     na = F.array(*[F.lit(v) for v in na_values])
     clean = raw.select(*[F.when(F.array_contains(na, F.col(c)) | F.col(c).isNull(), F.lit(None).cast("string"))
                          .otherwise(F.col(c)).alias(c) for c in raw.columns])
@@ -68,7 +75,7 @@ def read_csv_typed(spark: SparkSession, path: str, text_columns: Sequence[str] =
 
 
 def scan_csv_folder(spark: SparkSession, folder: str, height_column: str = "ht",
-                    multi_line: bool = True) -> dict[str, DataFrame]:
+                    multi_line: bool | None = None) -> dict[str, DataFrame]:
     """All ``*.csv`` datasets of a folder; missing folder -> FileNotFoundError."""
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"Data folder not found: {folder}")
@@ -147,17 +154,47 @@ def _field(name: str):
     return lambda s: s[name]
 
 
+CORRUPT = "_corrupt"
+
+
+def _payload(spark: SparkSession, path: str, measures: Sequence[tuple[str, str]], multi_line: bool) -> DataFrame:
+    schema = payload_schema(measures).add(CORRUPT, StringType())
+    return (spark.read.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
+            .json(path))
+
+
+def _broken(docs: DataFrame) -> str | None:
+    """A record that doesn't parse or holds no daily values, if there is one."""
+    text = F.coalesce(F.col(CORRUPT), F.lit("no daily values"))
+    rows = docs.where(F.col(CORRUPT).isNotNull() | F.col("daily").isNull()).select("series_key", "latitude", text.alias("t"))
+    first = rows.first()
+    return None if first is None else first["t"]
+
+
 def ingest_daily_payload(spark: SparkSession, path: str, measures: Sequence[tuple[str, str]],
                          start: str | None = None, end: str | None = None,
-                         multi_line: bool = False) -> DataFrame:
+                         multi_line: bool | None = None) -> DataFrame:
     """Payload documents -> one row per day (``inline(arrays_zip)``),
     ``time`` to date, optional inclusive date range.
 
+    Files hold one document a line, which are read in splits, or one document
+    laid out over many lines; a first pass tells, or ``multi_line`` says it.
+    A record that doesn't parse either way raises, and so does a file with
+    several laid-out documents: no document is passed over.
     A document without ``series_key``, as the weather service sends it, is
-    keyed by a hash of its latitude and longitude.  ``multi_line=True`` reads
-    files that hold one document laid out over many lines."""
-    docs = spark.read.schema(payload_schema(measures)).option("multiLine", multi_line).json(path)
-    docs = docs.withColumn("series_key", F.coalesce("series_key", F.xxhash64("latitude", "longitude")))
+    keyed by a hash of its latitude and longitude."""
+    if multi_line is None:
+        multi_line = _broken(_payload(spark, path, measures, False)) is not None
+    docs = _payload(spark, path, measures, multi_line)
+    bad = _broken(docs)
+    if bad is not None:
+        raise ValueError(f"not a payload document: {bad[:200]!r}")
+    if multi_line:
+        begun = (spark.read.text(path).where(F.col("value").startswith("{")).groupBy(F.input_file_name().alias("file"))
+                 .count().where(F.col("count") > 1).limit(1).collect())
+        if begun:
+            raise ValueError(f"{begun[0]['file']} holds several documents laid out over lines; write one a line")
+    docs = docs.drop(CORRUPT).withColumn("series_key", F.coalesce("series_key", F.xxhash64("latitude", "longitude")))
     names = ["time"] + [m for m, _ in measures]
     rows = docs.select("series_key", F.inline(F.arrays_zip(*[F.col(f"daily.{n}") for n in names])))
     out = rows.withColumn("time", F.to_date("time"))

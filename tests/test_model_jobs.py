@@ -28,14 +28,16 @@ def asked(monkeypatch, query, name):
 
 
 def test_model_queries_ask_for_the_whole_job(spark, monkeypatch):
-    for q in (qm.q_train_gbt_scores, qm.q_feature_importance):
+    for q in (qm.q_train_gbt_scores, qm.q_feature_importance, qm.q_feature_importance_splits):
         kw = asked(monkeypatch, q, "train_gbt")[1]
         assert (kw["max_iter"], kw["patience"], kw["params"]["n_estimators"]) == (300, 30, 300)
     args, _ = asked(monkeypatch, qm.q_random_search_regression, "random_search_regression")
     assert len(md._distinct([{"max_depth": 3}, {"max_depth": 3, "gamma": 1}])[0]) == 1
     assert asked(monkeypatch, qm.q_random_search_regression, "random_search_regression")[1]["n_iter"] == 30
     assert min(args[4]["n_estimators"]) == 200 and max(args[4]["n_estimators"]) == 900
-    draws = asked(monkeypatch, qm.q_random_search_classification, "fit_many")[0][3]
+    asked_for, kw = asked(monkeypatch, qm.q_random_search_classification, "fit_many")
+    draws = asked_for[3]
+    assert kw["weighted"] is False  # as the reference
     assert len(draws) == 20 and {d["n_estimators"] for d in draws} <= {200, 500, 800}
     assert asked(monkeypatch, qm.q_train_rf_scores, "train_random_forest")[1]["num_trees"] == 300
     for q in (qm.q_ensemble_scores, qm.q_model_comparison):
@@ -44,9 +46,9 @@ def test_model_queries_ask_for_the_whole_job(spark, monkeypatch):
     assert len(asked(monkeypatch, qm.q_time_series_cv, "fold_fit_score")[0][3]) == 4
     args, _ = asked(monkeypatch, qm.q_grid_search_table, "grid_search")
     assert args[0][2] == 5 and len(md.grid_from(args[4])) == 5184
-    monkeypatch.setattr(md, "grid_search", lambda *a, **k: (None, [{"n": i} for i in range(99)], None))
-    args, kw = asked(monkeypatch, qm.q_topk_refit, "fit_many")
-    assert (len(args[3]), kw["max_iter"], kw["patience"]) == (10, 300, 30)
+    monkeypatch.setattr(md, "grid_search", lambda *a, **k: ("table", [], None))
+    args, kw = asked(monkeypatch, qm.q_topk_refit, "topk_refit")
+    assert (args[3], args[4], kw["max_iter"], kw["patience"]) == ("table", 10, 300, 30)
 
 
 def test_grid_search_is_weighted_and_equal_sets_are_fitted_once(spark):
