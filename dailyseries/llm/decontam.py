@@ -122,26 +122,36 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
 
     Null and empty texts have no words.  Items with null text or no words give
     no window; a null item id still marks words but is not listed.  An empty
-    benchmark hits nothing.  Repeated rows are scanned as they come.
+    benchmark hits nothing.  Repeated rows are scanned as they come, very long
+    texts whole.  Other columns pass through, whatever their names.
     """
     small_batches(docs.sparkSession)
-    base = docs.drop(*ADDED, "__hits")
+    base = docs.drop(*ADDED)
+    held, new = (_free_name(base, n) for n in ("__hits", "__new"))
     out = base
     for i, items in enumerate(item_blocks(benchmark, block_bytes)):
         if i:  # a pass of its own, so that a task holds one automaton at a time
             out = materialize(out, "decontam-pass")
         hits = hits_udf(docs.sparkSession, items, size)(F.col("text").cast("string"))
-        out = out.withColumn("__new" if i else "__hits", hits)
+        out = out.withColumn(new if i else held, hits)
         if i:
-            out = out.withColumn("__hits", F.struct(
-                F.col("__new.n_words").alias("n_words"),
-                *[F.array_sort(F.array_union(f"__hits.{c}", f"__new.{c}")).alias(c)
-                  for c in ("hit_words", "item_ids", "spans")])).drop("__new")
-    return out.select(*base.columns, F.col("__hits.n_words").alias("n_words"),
-                      F.size("__hits.hit_words").cast("long").alias("n_hit"),
-                      F.size("__hits.item_ids").cast("long").alias("n_items"),
-                      F.col("__hits.item_ids").alias("item_ids"), F.col("__hits.spans").alias("hit_spans"),
-                      (F.size("__hits.hit_words") > 0).alias("contaminated"))
+            out = out.withColumn(held, F.struct(
+                F.col(f"{new}.n_words").alias("n_words"),
+                *[F.array_sort(F.array_union(f"{held}.{c}", f"{new}.{c}")).alias(c)
+                  for c in ("hit_words", "item_ids", "spans")])).drop(new)
+    return out.select(*base.columns, F.col(f"{held}.n_words").alias("n_words"),
+                      F.size(f"{held}.hit_words").cast("long").alias("n_hit"),
+                      F.size(f"{held}.item_ids").cast("long").alias("n_items"),
+                      F.col(f"{held}.item_ids").alias("item_ids"), F.col(f"{held}.spans").alias("hit_spans"),
+                      (F.size(f"{held}.hit_words") > 0).alias("contaminated"))
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name`` or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def digest_columns(result: DataFrame) -> DataFrame:

@@ -197,7 +197,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     Only the text is read.  A text that is null or has no letter is ``und``
     with score 0 and rejected; so is every text if the model knows no
-    language (no labelled rows).  Repeated rows get equal results.
+    language (no labelled rows).  Of languages with the same chance the first
+    in alphabetical order is predicted.  A very long text is counted whole, a
+    segment at a time.  Repeated rows get equal results; an empty table gives
+    no rows.
     """
     small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)

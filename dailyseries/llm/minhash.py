@@ -234,6 +234,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     component; its label is null.  A null doc_id is linked by its text,
     never the smallest id while another exists, and kept only in a component
     of null ids.  Rows that share a doc_id are linked each by its own text.
+    A very long text is hashed whole, a segment at a time.  An empty table
+    gives no rows; other columns are not read, whatever their names.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))

@@ -217,7 +217,9 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
     A null text is empty and has no spans; empty and span-free texts give the
     digest of the empty string.  Rows that share a doc_id are judged each by
-    its own text; repeated rows get equal results.
+    its own text; repeated rows get equal results.  A very long text is
+    searched whole.  An empty table gives no rows; other columns are not read,
+    whatever their names.
     """
     spans, _ = find_spans(docs, **options)
     per = _spans_per_document(docs, spans)

@@ -314,7 +314,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     ``length``-byte string that also starts anywhere else, in the same or any
     other document, is removed; overlapping occurrences count, and strings are
     judged on the input.  Texts shorter than ``length`` bytes lose nothing.
-    Repeated rows repeat each other's strings, so they all lose them.
+    Repeated rows repeat each other's strings, so they all lose them.  A very
+    long text is judged whole.  An empty table gives no rows; other columns
+    are not read, whatever their names.
     """
     ranges = covered_strings(docs, length, gram, batches)
     body = F.coalesce(docs["text"].cast("string"), F.lit(""))

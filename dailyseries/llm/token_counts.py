@@ -118,5 +118,6 @@ def length_quantiles(sums: DataFrame, probabilities: list[float]) -> DataFrame:
 
 def length_table(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Histogram and suffix sums of ``docs``; an empty table gives no rows,
-    null and empty texts count at length 0, repeated rows count each."""
+    null and empty texts count at length 0, repeated rows count each.  A very
+    long text is encoded whole.  Columns other than text are not read."""
     return suffix_sums(histogram(with_length(docs.select("text"), vocabulary)))

@@ -283,6 +283,9 @@ def round_trip(pages: DataFrame, payload: bool = False) -> DataFrame:
     Null html is an empty payload; a null page_id or url leaves its header
     out and comes back as null; repeated rows are records of their own; an
     empty table gives an empty result.  Line breaks in a url become spaces.
+    A very long page is one record, written and read whole.  Of equal payloads
+    with the same largest page_id one is the response.  Other columns are
+    not read, whatever their names.
     """
     folder = scratch_path(pages.sparkSession, "warc")
     entries = write_monolithic(pages, f"{folder}/raw")

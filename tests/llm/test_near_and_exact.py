@@ -129,31 +129,6 @@ def test_drop_near_duplicates_collapses_rows_of_one_group_only(spark):
         [(None, one), (None, two), (None, None), (None, " "), (None, ""), (4, four), (4, one[::-1]), (4, two[::-1])])
 
 
-def brute_near_row(rows, k, width):
-    sets = [shingles(r[1], width) for r in rows]
-    if not hasattr(brute_near_row, "memo") or brute_near_row.memo[0] is not rows:
-        brute_near_row.memo = (rows, {})
-        up = list(range(len(rows)))
-
-        def find(x):
-            while up[x] != x:
-                x = up[x]
-            return x
-
-        for a in range(len(rows)):
-            for b in range(a):
-                i = len(sets[a] & sets[b])
-                if i and 100 * i >= 80 * (len(sets[a]) + len(sets[b]) - i):
-                    up[find(a)] = find(b)
-        groups = {}
-        for x in range(len(rows)):
-            groups.setdefault(find(x), []).append(rows[x][0])
-        for x in range(len(rows)):
-            ids = [i for i in groups[find(x)] if i is not None]
-            brute_near_row.memo[1][x] = (rows[x][0], len(sets[x]), min(ids, default=None) if sets[x] else rows[x][0])
-    return brute_near_row.memo[1][k]
-
-
 def test_near_duplicates_of_an_empty_table(spark):
     assert minhash.near_duplicates(frame(spark, [])).collect() == []
     assert minhash.drop_near_duplicates(frame(spark, [])).collect() == []

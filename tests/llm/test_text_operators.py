@@ -286,3 +286,15 @@ def test_decontamination_with_empty_tables(spark):
     assert not any(r.contaminated for r in decontam.decontaminate(frame(spark, awkward()), none).collect())
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontam.decontaminate(frame(spark, []), bench).collect() == []
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_decontamination_keeps_columns_with_its_inner_names(spark, block_bytes):
+    bench = spark.createDataFrame([(1, " ".join(words(1, 12))), (2, " ".join(words(2, 12)))], "item_id long, text string")
+    rows = [(1, " ".join(words(1, 12)), 7, "x"), (2, None, 8, "y"), (3, " ".join(words(2, 30)), None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hits int, __NEW string")
+    out = decontam.decontaminate(docs, bench, block_bytes=block_bytes)
+    assert out.columns[:4] == docs.columns
+    got = sorted(out.collect())
+    assert [tuple(r)[:4] for r in got] == rows and [r.contaminated for r in got] == [True, False, True]
+    assert [r.item_ids for r in got] == [["1"], [], ["2"]]
