@@ -189,3 +189,18 @@ def join_groups(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner
         return a.join(b, same, how).drop(*[f"_by_{c}" for c in by])
     s = b.select(F.struct(*b.columns).alias("_s")).scalar()
     return a.withColumn("_s", s).select(*a.columns, *[F.col(f"_s.{c}").alias(c) for c in b.columns])
+
+
+SMALL_GROUPS = 100_000  # groups that are sent to every task
+
+
+def join_counted(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``join_groups`` of many rows ``a`` with few groups ``b``.
+
+    ``b`` is taken once and counted: up to ``SMALL_GROUPS`` rows go to every
+    task, so ``a`` is not shuffled on its few keys; more are joined by key."""
+    if not by:
+        return join_groups(a, b, by)
+    checkpoint_dir(b.sparkSession)
+    b = b.checkpoint(eager=True)
+    return join_groups(a, F.broadcast(b) if b.count() <= SMALL_GROUPS else b, by)

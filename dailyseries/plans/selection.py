@@ -122,9 +122,9 @@ class Selection:
         after = [F.col(self.names[d + 1]) if d + 1 < len(self.names) else none for d in j]
         rows = (self.keys.withColumn("cell", cell).where(F.col("cell").isNotNull())
                 .select("cell", of_cell([self._bin(c) for c in cells]).alias("bin"), of_cell(here).alias("v"),
-                        of_cell(after).alias("w")).groupBy("cell", "bin")
+                        of_cell(after).alias("w"), *self.names).groupBy("cell", "bin")
                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"),
-                     F.min("w").alias("next_least"), F.max("w").alias("next_most")))
+                     F.min("w").alias("next_least"), F.max("w").alias("next_most"), *[F.min(k).alias(k) for k in self.names]))
         out: dict[int, list] = {}
         for r in rows.collect():  # at most BINS rows a cell
             out.setdefault(r["cell"], []).append(r)
@@ -145,12 +145,12 @@ class Selection:
                 before = cell.before
                 for b in counted[i]:
                     inside = [p for p in here if before <= p < before + b["c"]]
-                    if inside and b["least"] < b["most"]:
+                    if inside and b["c"] == 1:  # the minima are the row itself
+                        found |= dict.fromkeys(inside, tuple(b[k] for k in self.names))
+                    elif inside and b["least"] < b["most"]:
                         open_cells[replace(cell, low=b["least"], high=b["most"], before=before)] = inside
-                    elif inside and len(cell.fixed) + 1 < len(self.names):
+                    elif inside:  # several rows of one value: the next column tells them apart
                         open_cells[_Cell((*cell.fixed, b["least"]), b["next_least"], b["next_most"], before)] = inside
-                    else:
-                        found |= dict.fromkeys(inside, (*cell.fixed, b["least"]))
                     before += b["c"]
         return found
 
