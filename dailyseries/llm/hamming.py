@@ -3,10 +3,12 @@
 A code has one sign bit per dimension, as words of 64 bits.  Codes are cut into
 16-bit segments, and every distinct code is indexed once per segment value.
 Search proceeds by radius: in round r, every query that is not finished
-probes the segment values at exactly r flipped bits.  After the round every
-code within Hamming distance ``segments * (r + 1) - 1`` has been seen
-(pigeonhole), so a query is finished once its k-th verified distance is at
-most that.  The result is exact at any size; nothing is capped.
+probes the segment values at exactly r flipped bits.  Probing the first b + 1
+segments covers the Hamming distance ``segments * r + b`` (pigeonhole), so
+a query grows no more segments than its k-th verified distance needs, and is
+finished once that is covered.  Codes farther than the k-th so far are dropped
+where they are verified, inside the join.  The result is exact at any
+size; nothing is capped.
 
 Which values of a segment occur in the index is a bitmap of 65 536 bits,
 shipped to the tasks.  Flipped values that do not occur never become rows, so
@@ -119,7 +121,8 @@ def search_codes(index: DataFrame, queries: DataFrame, k: int, words: int) -> Da
     codes = index.select("code", F.size("ids").alias("n"), F.get("ids", F.lit(0)).alias("low"))
     entries = materialize(codes.select("*", _segments("code", words).alias("seg", "val"))
                           .repartition("seg", "val").sortWithinPartitions("seg", "val"), "mih-index")
-    active = materialize(queries.select(F.col("code").alias("q")).distinct(), "mih-active")
+    farthest = words * WORD_BITS
+    active = materialize(queries.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(farthest)), "mih-active")
     occupied = occupied_values(entries, segments)
     distance = reduce(add, [F.bit_count(F.get("q", F.lit(w)).bitwiseXOR(F.get("code", F.lit(w)))) for w in range(words)])
     weights = [F.bit_count(_segment("q", s).bitwiseXOR(_segment("code", s))) for s in range(segments)]
@@ -127,31 +130,31 @@ def search_codes(index: DataFrame, queries: DataFrame, k: int, words: int) -> Da
     first = Window.partitionBy("q").orderBy("dist", "low")
     for radius in range(SEGMENT_BITS + 1):
         near = near_values_udf(active.sparkSession, occupied, radius)
-        probes = active.select("q", _segments("q", words).alias("seg", "own")).select(
-            "q", "seg", F.explode(near("seg", "own")).alias("val"))
-        # the planner can't see how many rows an explode makes: never broadcast them
-        found = probes.hint("merge").join(entries, ["seg", "val"])
+        # segments 0 ... b at this radius cover the distance segments * radius + b: no more than the bound is needed
+        needed = F.col("seg") <= F.col("bound") - segments * radius
+        probes = active.select("q", "bound", _segments("q", words).alias("seg", "own")).where(needed).select(
+            "q", "bound", "seg", F.explode(near("seg", "own")).alias("val"))
         # a code is taken at its first segment with the least difference only: no repeats, no shuffle to find them
         is_first = F.lit(True)
         for s, w in enumerate(weights):
             is_first = is_first & F.when(F.col("seg") > s, w > radius).otherwise(w >= radius)
-        new = found.where(is_first).select("q", "code", "n", "low", distance.alias("dist"))
+        # the planner can't see how many rows an explode makes: never broadcast them
+        found = probes.hint("merge").join(entries, ["seg", "val"]).where(is_first & (distance <= F.col("bound")))
+        new = found.select("q", "code", "n", "low", distance.alias("dist"))
         pool = new if best is None else best.unionByName(new)
         best = materialize(pool.withColumn("nth", F.row_number().over(first))
                            .where(F.col("nth") <= k + 1).drop("nth"), f"mih-best-{radius}")
+        # the distance within which k + 1 ids lie (one may be the query itself) bounds all that can still count
+        ids = best.withColumn("ids", F.sum("n").over(first.rowsBetween(Window.unboundedPreceding, 0)))
+        kth = ids.where(F.col("ids") >= k + 1).groupBy("q").agg(F.min("dist").alias("kth"))
+        state = materialize(active.select("q").join(kth, "q", "left")
+                            .select("q", F.coalesce("kth", F.lit(farthest)).alias("bound")), f"mih-state-{radius}")
         covered = segments * (radius + 1) - 1
-        # ids within the covered radius; k + 1 of them end a query (one may be the query itself)
-        sure = (best.where(F.col("dist") <= covered).groupBy("q").agg(F.sum("n").alias("ids"))
-                .where(F.col("ids") >= k + 1).select("q"))
-        if radius < SEGMENT_BITS:
-            left = materialize(active.join(sure, "q", "left_anti"), f"mih-active-{radius}")
-            finished.append(best.join(left, "q", "left_anti"))
-            best = best.join(left, "q", "left_semi")
-            active = left
-            if active.isEmpty():
-                break
-        else:
-            finished.append(best)
+        left = state.where(F.col("bound") > covered)
+        finished.append(best.join(left, "q", "left_anti"))
+        if left.isEmpty():
+            break
+        active, best = left, best.join(left, "q", "left_semi")
     return reduce(DataFrame.unionByName, finished).select("q", "code", "dist")
 
 
