@@ -4,7 +4,8 @@ Scores of fitted trees differ from engine to engine, so these queries return
 what SQL can check as well: keys, labels, sizes, ranks, and that scores are
 probabilities.  The scores themselves are the operators' results; property
 tests cover them.  The model-free baselines and the overfit report are
-SQL-checked in full.
+SQL-checked in full.  The reference's searches are functions (``SEARCHES``),
+not registered queries.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dailyseries.operators import windows as win
 from dailyseries.plans import fixtures as fx
 from dailyseries.plans import oracle as o
 from dailyseries.plans.pipeline import feature_pipeline
-from dailyseries.plans.q_pipeline import CODES, MEASURES, SEASONS, TS_SQL, WF_SQL, _rolling_items, _split_sql
+from dailyseries.plans.q_pipeline import CODES, MEASURES, SEASONS, WF_SQL, _rolling_items, _split_sql
 from dailyseries.plans.q_windows import PLAIN, _advanced_items
 from dailyseries.plans.registry import query
 
@@ -112,30 +113,31 @@ def _train_folds(spark, sf):
     return spl.stratified_folds(tr, y, 5, order_key=["time", "series_key"]), feats, y
 
 
-@query("grid_search_table")
-def q_grid_search_table(spark, sf):
-    """M2/O3: cross-validated AUC over the default grid, ranked (stratified folds)."""
+def _ledger(spark, path):
+    return md.Ledger(spark, path) if path else None
+
+
+def q_grid_search_table(spark, sf, ledger: str | None = None):
+    """M2/O3: cross-validated AUC over the default grid, ranked (stratified folds);
+    ``ledger`` is a folder in which finished fits are kept."""
     data, feats, y = _train_folds(spark, sf)
-    return md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)[0]
+    return md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID, ledger=_ledger(spark, ledger))[0]
 
 
-@query("topk_refit")
-def q_topk_refit(spark, sf):
+def q_topk_refit(spark, sf, ledger: str | None = None):
     """M6: refit the 10 best grid points with early stopping; val AUC and % zeros."""
     data, feats, y = _train_folds(spark, sf)
-    table = md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID)[0]
+    table = md.grid_search(data, feats, y, "fold", md.DEFAULT_GRID, ledger=_ledger(spark, ledger))[0]
     return md.topk_refit(_cls_table(spark, sf)[0], feats, y, table, 10, max_iter=300, patience=30)
 
 
-@query("random_search_regression")
-def q_random_search_regression(spark, sf):
+def q_random_search_regression(spark, sf, ledger: str | None = None):
     """M3: seeded random search of boosted regression trees, 3-fold RMSE."""
     df, feats, y = feature_pipeline(fx.daily_weather(spark, sf, nulls=True), task="regression")
     tr = spl.kfold(df.where(F.col("split") == "train"), 3)
-    return md.random_search_regression(tr, feats, y, "fold", REG_SPACE, n_iter=30)
+    return md.random_search_regression(tr, feats, y, "fold", REG_SPACE, n_iter=30, ledger=_ledger(spark, ledger))
 
 
-@query("random_search_classification")
 def q_random_search_classification(spark, sf):
     """M5: 20 draws of a 729-point space, fitted on train, ranked by val AUC."""
     df, feats, y = _cls_table(spark, sf)
@@ -299,7 +301,7 @@ def q_walk_forward_gbt(spark, sf):
     scored = md.fold_fit_score(f, feats, y, est, keep=["time"])
     m = mt.regression_metrics(scored, "y", "p", by=["fold"])
     begun = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)  # one row per fold
-    ends = (f.groupBy(F.col("train_from").alias("fold")).agg(F.max("time").alias("last"))
+    ends = (f.where(F.col("train_from").isNotNull()).groupBy(F.col("train_from").alias("fold")).agg(F.max("time").alias("last"))
             .select("fold", F.max("last").over(begun).alias("train_end_time")))
     test_end = f.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.max("time").alias("test_end_time"))
     valid = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("r2") <= 1)
@@ -307,12 +309,6 @@ def q_walk_forward_gbt(spark, sf):
             .select("fold", "n", "train_end_time", "test_end_time", valid.alias("valid")))
 
 
-TS_CV_SQL = o.with_ctes(
-    f"SELECT fold, count(*) AS n, true AS valid FROM ({TS_SQL}) f WHERE fold IS NOT NULL GROUP BY fold", daily_weather=DW,
-    c=CLS_ROWS, persistence=f"SELECT * EXCLUDE (split) FROM ({_split_sql('c')}) s WHERE split = 'train'")
-
-
-@query("time_series_cv", TS_CV_SQL)
 def q_time_series_cv(spark, sf):
     """L3 with a model: five expanding-window folds of the four-member vote,
     AUC per fold and mean +/- 2 std (population) in one grouped job."""
@@ -328,3 +324,10 @@ def q_time_series_cv(spark, sf):
     n = f.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.count("*").alias("n"))
     valid = F.col("auc_score").between(0, 1) & F.col("cv_mean").between(F.col("cv_low"), F.col("cv_high"))
     return out.join(n, "fold").select("fold", "n", valid.alias("valid"))
+
+
+# The reference's searches in full.  A single machine needs hours to days for them (README), so they are
+# no registered queries; with a ledger in the shared folder they can be stopped and go on.
+SEARCHES = {"grid_search_table": q_grid_search_table, "topk_refit": q_topk_refit,
+            "random_search_regression": q_random_search_regression,
+            "random_search_classification": q_random_search_classification, "time_series_cv": q_time_series_cv}
