@@ -56,25 +56,25 @@ def column_stats(df: DataFrame, columns: Sequence[str], stats: Sequence[str]) ->
     some = rows.limit(SHIFT_ROWS).collect()
     if not some:
         return {c: {s: 0 if s in ("count", "rows") else None for s in stats} for c in columns}
+    ends = {n: e for n, e in {"min": (float("inf"), Summarizer.min), "max": (float("-inf"), Summarizer.max)}.items() if n in stats}
     near = [next((v for v in column if v is not None), 0.0) for column in zip(*some, strict=True)]
     vectors = rows.select(
         array_to_vector(F.array(*[F.coalesce(F.col(c) - F.lit(s), F.lit(0.0)) for c, s in zip(columns, near)])).alias("x"),
         array_to_vector(F.array(*[F.col(c).isNotNull().cast("double") for c in columns])).alias("held"),
         *[array_to_vector(F.array(*[F.coalesce(F.col(c), F.lit(end)) for c in columns])).alias(n)
-          for n, end in (("low", float("inf")), ("high", float("-inf")))])
+          for n, (end, _) in ends.items()])
     got = vectors.agg(
         Summarizer.metrics("count", "mean", "variance").summary(F.col("x")).alias("x"),
-        Summarizer.mean(F.col("held")).alias("held"), Summarizer.min(F.col("low")).alias("low"),
-        Summarizer.max(F.col("high")).alias("high")).first()
+        Summarizer.mean(F.col("held")).alias("held"), *[f(F.col(n)).alias(n) for n, (_, f) in ends.items()]).first()
     n, out = got["x"]["count"], {}
     for i, c in enumerate(columns):
         k = round(got["held"][i] * n)
         one = {"rows": n, "count": k, "mean": None, "var_pop": None, "min": None, "max": None}
         if k:
             away = got["x"]["mean"][i] * n / k  # mean of the values, from the stand-in for nulls
-            low, high = got["low"][i], got["high"][i]
-            spread = got["x"]["variance"][i] * (n - 1) - k * (n - k) / n * away ** 2
-            one |= {"mean": near[i] + away, "var_pop": 0.0 if low == high else max(0.0, spread / k), "min": low, "max": high}
+            whole, nulls = got["x"]["variance"][i] * (n - 1), k * (n - k) / n * away ** 2
+            spread = whole - nulls if whole - nulls > 1e-12 * nulls else 0.0  # what rounding leaves of a constant
+            one |= {"mean": near[i] + away, "var_pop": spread / k} | {e: got[e][i] for e in ends}
         out[c] = {s: one[s] for s in stats}
     return out
 

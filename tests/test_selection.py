@@ -99,7 +99,9 @@ def test_column_stats_equal_plain_aggregates(spark):
         assert got[c]["mean"] == pytest.approx(held.mean(), rel=1e-13)
         assert got[c]["var_pop"] == pytest.approx(held.var(), rel=1e-8, abs=1e-15)
         assert (got[c]["min"], got[c]["max"]) == (held.min(), held.max())
-    assert got["late"]["var_pop"] == 0.0  # a constant column stays one, nulls and all
+    alone = prep.column_stats(df, list(cols), ["mean", "var_pop"])
+    assert got["late"]["var_pop"] == alone["late"]["var_pop"] == 0.0  # a constant column stays one, nulls and all
+    assert all(alone[c]["mean"] == got[c]["mean"] and alone[c]["var_pop"] == got[c]["var_pop"] for c in cols)
     empty = prep.column_stats(df.where("rain < 0"), ["rain"], ["count", "mean"])
     assert empty == {"rain": {"count": 0, "mean": None}}
 
