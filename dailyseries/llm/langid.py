@@ -7,8 +7,9 @@ sample of labelled rows.  A part of the sample is kept out of training to
 calibrate the scores (temperature scaling); a text is rejected when the
 calibrated chance of its best language is below ``min_score``.
 
-Since everything after the hash is linear, the fitted model is one score per
-(bucket, language): a table of fixed size that every task gets.
+Every task gets the embeddings, a table of fixed size, and one softmax vector
+per language.  The driver sees as many sampled rows as ``SAMPLE_ROWS``, dealt
+evenly to the languages, as packed counts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ ADDED = ["lang_pred", "score", "rejected"]
 BUCKET_BITS = 14
 DIM = 16
 ROWS_PER_LANG = 800   # labelled rows sampled per language, in expectation
-MAX_LANGS = 8192      # the table then takes 1 GB; more raise
+SAMPLE_ROWS = 16_000  # and of all languages together
 EPOCHS = 6
 RATE = 0.5
 CALIBRATION_SHARE = 5  # one row in five calibrates
@@ -74,13 +75,15 @@ def has_letter(text: str | None) -> bool:
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray      # (buckets, languages)
+    embeddings: np.ndarray  # (buckets, dimensions)
+    weights: np.ndarray     # (dimensions, languages)
     bias: np.ndarray
     temperature: float = 1.0
     min_score: float = MIN_SCORE
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
-        return counts @ self.table / max(1, counts.sum()) + self.bias
+        at = np.flatnonzero(counts)
+        return counts[at] / max(1, counts.sum()) @ self.embeddings[at] @ self.weights + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, calibrated score, rejected)."""
@@ -101,7 +104,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     """Fit on (language, bucket numbers, counts) rows; the last share calibrates."""
     langs = sorted({r[0] for r in rows})
     if not langs:
-        return Model([], np.zeros((1 << bits, 0)), np.zeros(0))
+        return Model([], np.zeros((1 << bits, dim)), np.zeros((dim, 0)), np.zeros(0))
     y = np.array([langs.index(r[0]) for r in rows])
     held = np.arange(len(rows)) % CALIBRATION_SHARE == 0
     if len(rows) < 10 * CALIBRATION_SHARE:
@@ -126,9 +129,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
             # the mean spreads the gradient over the text; undo the 1/length for a usable step
             e[idx] -= lr * 50 * np.outer(share, back)
             step += 1
-    model = Model(langs, e @ w, b)
+    model = Model(langs, e, w, b)
     sample = np.flatnonzero(held) if held.any() else fit
-    z = np.array([rows[i][2] / rows[i][2].sum() @ model.table[rows[i][1]] + b for i in sample])
+    z = np.array([rows[i][2] / rows[i][2].sum() @ e[rows[i][1]] @ w + b for i in sample])
     model.temperature = fit_temperature(z, y[sample])
     return model
 
@@ -152,39 +155,45 @@ def held_out(doc_id) -> object:
 
 def sample_rows(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """N-gram counts of about ``per_lang`` labelled rows per language, chosen
-    by hash among those that may be learned from; whole texts are counted in
-    the tasks, and the driver gets vectors of bounded size.  Every label is
-    sampled; more than ``MAX_LANGS`` of them raise."""
+    by hash among those that may be learned from, and of no more than about
+    ``SAMPLE_ROWS`` in all; whole texts are counted in the tasks, and the
+    driver gets vectors of bounded size.  Every label is sampled; more labels
+    than ``SAMPLE_ROWS`` raise, for there would be no row for each."""
     small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     lang = F.col("lang").cast("string")
     usable = docs.where(lang.isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & text.rlike(r"\p{L}"))
-    sizes = (usable.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect())
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages: the model would not fit")
+    sizes = (usable.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS + 1).collect())
+    if len(sizes) > SAMPLE_ROWS:
+        raise ValueError(f"more than {SAMPLE_ROWS} languages: no row would be left for each")
     if not sizes:
         return []
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])
+    per_lang = max(1, min(per_lang, SAMPLE_ROWS // len(sizes)))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, per_lang / r["count"])) for r in sizes],
+                                               "__lang string, __share double")
     # a salt of its own: nothing else picks the same rows
     place = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
-    @F.pandas_udf("idx array<int>, cnt array<int>")
+    @F.pandas_udf("idx binary, cnt binary")
     def vector(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             c = gram_counts(t)
             idx = np.flatnonzero(c)
-            rows.append((idx.astype(np.int32), np.minimum(c[idx], (1 << 31) - 1).astype(np.int32)))
+            rows.append((idx.astype(np.int32).tobytes(), np.minimum(c[idx], (1 << 31) - 1).astype(np.int32).tobytes()))
         return pd.DataFrame({"idx": [r[0] for r in rows], "cnt": [r[1] for r in rows]})
 
-    chosen = (usable.where(place < F.element_at(share, lang))
-              .select(lang.alias("lang"), F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", text).alias("o"),
+    usable = usable.select(lang.alias("__l"), place.alias("__place"), "doc_id", "text")
+    # SAMPLE_ROWS rows of two numbers at most
+    chosen = (usable.join(F.broadcast(shares), F.col("__l") == F.col("__lang")).where("__place < __share")
+              .select(F.col("__l").alias("lang"), F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", text).alias("o"),
                       vector(text).alias("v")))
     # cuts only if one id repeats very often; equal rows are interchangeable
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
     chosen = chosen.withColumn("nth", nth).where(F.col("nth") <= 2 * per_lang)
     got = sorted(chosen.collect(), key=lambda r: (r["h"], r["lang"], r["o"]))
-    return [(r["lang"], np.array(r["v"]["idx"]), np.array(r["v"]["cnt"], np.float64)) for r in got]
+    return [(r["lang"], np.frombuffer(bytes(r["v"]["idx"]), np.int32), np.frombuffer(bytes(r["v"]["cnt"]), np.int32))
+            for r in got]
 
 
 def fit(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> Model:

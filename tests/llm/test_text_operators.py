@@ -45,14 +45,49 @@ def test_every_label_is_sampled_and_the_bound_is_per_language(spark, monkeypatch
     again = [Counter(r[0] for r in langid.sample_rows(docs.repartition(n), 10)) for n in (1, 7)]
     assert again[0] == again[1] and again[0]["l0"] <= 20
     assert all(again[0][f"l{k}"] == 2 for k in range(1, 230))
-    monkeypatch.setattr(langid, "MAX_LANGS", 229)
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 460)  # two rows a language
+    assert Counter(r[0] for r in langid.sample_rows(docs))["l0"] <= 4
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 229)
     with pytest.raises(ValueError, match="229 languages"):
         langid.sample_rows(docs)
 
 
+def plain_counts(text):
+    """N-gram counts by loops: 1 to 4 bytes with a word's byte at their heart."""
+    b = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in f" {text.lower()} ".encode()]
+    counts = Counter()
+    for i in range(len(b)):
+        for n, heart in ((1, (0,)), (2, (0, 1)), (3, (1,)), (4, (1, 2))):
+            gram = b[i:i + n]
+            if len(gram) < n:
+                continue
+            solid = [gram[j] != 32 for j in heart]
+            if any(solid) if n == 2 else all(solid):
+                number = sum(c << 8 * j for j, c in enumerate(gram))
+                counts[(number * int(langid._MULT[n - 1]) & 0xFFFFFFFF) >> (32 - langid.BUCKET_BITS)] += 1
+    return counts
+
+
+def test_prediction_equals_a_plain_second_version(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").limit(40)
+    model = langid.fit(spark.read.parquet(f"{SF001}/documents.parquet"))
+    for r in langid.identify(docs, model).collect():
+        if not langid.has_letter(r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        counts = plain_counts(r.text)
+        mean = sum(n * model.embeddings[k] for k, n in counts.items()) / sum(counts.values())
+        z = [(sum(float(mean[d]) * float(model.weights[d, j]) for d in range(langid.DIM)) + model.bias[j]) / model.temperature
+             for j in range(len(model.langs))]
+        chance = [math.exp(v - max(z)) for v in z]
+        best = max(range(len(z)), key=lambda j: chance[j])
+        assert r.lang_pred == model.langs[best] and r.score == pytest.approx(chance[best] / sum(chance), abs=1e-9)
+        assert r.rejected == (r.score < model.min_score)
+
+
 def test_language_id_of_awkward_rows(spark):
     docs = frame(spark, awkward())
-    for model in (langid.fit(docs), langid.Model([], np.zeros((1 << langid.BUCKET_BITS, 0)), np.zeros(0))):
+    for model in (langid.fit(docs), langid.train([])):
         out = langid.identify(docs, model)
         assert out.columns == [*(c for c in docs.columns if c != "rejected"), "lang_pred", "score", "rejected"]
         for r in out.collect():
