@@ -64,3 +64,12 @@ def test_grid_search_is_weighted_and_equal_sets_are_fitted_once(spark):
     folds = df.withColumn("train_from", 1 - df["fold"])
     votes = md.fold_fit_score(folds, ["a", "b"], "y", list(members.values()))
     assert votes.where("p between 0 and 1").count() == 60
+
+
+def test_boosting_state_is_checkpointed_often_and_the_model_is_the_same(spark):
+    df = md._assembler(["a"]).transform(spark.createDataFrame([(float(i % 7), float(i)) for i in range(60)], "a double, y double"))
+    est = md.GBTRegressor(labelCol="y", maxIter=5, seed=1)
+    short = md.short_lineage(est)
+    assert short.getCheckpointInterval() == md.CHECKPOINT_ROUNDS < est.getCheckpointInterval()
+    assert md.short_lineage(est.copy({est.checkpointInterval: 7})).getCheckpointInterval() == 7
+    assert short.fit(df).toDebugString.split("\n")[1:] == est.fit(df).toDebugString.split("\n")[1:]
