@@ -194,3 +194,24 @@ def test_halo_keeps_null_series(spark):
     df = spark.createDataFrame(rows, "series_key bigint, time date, x double")
     out = window_for_range(df, lambda w: {"s": F.sum("x").over(win.trailing(w, 3))}, "2000-01-05", "2000-01-06", back=2)
     assert [r.s for r in out.orderBy("time").collect()] == [3.0, 3.0]
+
+
+def test_rolling_statistics_by_batches_equal_the_window_functions(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(k, i, rng.choice([None, 0.0, 0.1, round(rng.uniform(-5, 50), 2)]), 0.1 if k == 2 else rng.random())
+            for k, n in ((None, 40), (0, 1), (1, 70), (2, 45), (3, 33)) for i in range(n)]
+    df = spark.createDataFrame(rows, "series_key long, time int, precipitation_sum double, temperature_2m_max double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")  # frames reach over several batches
+    try:
+        stats = win.rolling_precip_stats() + win.rolling_weather_stats(["temperature_2m_max"])
+        got = win.trailing_stats(df.repartition(7), stats).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    w = win.series_window()
+    want = df.withColumns(win.rolling_precip_cols(w) | win.rolling_weather_cols(w, ["temperature_2m_max"])).collect()
+    of = {(r["series_key"], r["time"]): r.asDict() for r in got}
+    assert len(of) == len(got) == len(want)
+    for r in want:
+        assert of[r["series_key"], r["time"]] == pytest.approx(r.asDict(), abs=1e-9)
+    assert max(r["temperature_2m_max_30d_std"] or 0.0 for r in got if r["series_key"] == 2) == 0
