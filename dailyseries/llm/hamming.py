@@ -7,13 +7,20 @@ probes the segment values at exactly r flipped bits.  Probing the first b + 1
 segments covers the Hamming distance ``segments * r + b`` (pigeonhole), so
 a query grows no more segments than its k-th verified distance needs, and is
 finished once that is covered.  Codes farther than the k-th so far are dropped
-where they are verified, inside the join.  The result is exact at any
+where they are verified, inside the task.  The result is exact at any
 size; nothing is capped.
 
+Segment values do not become rows.  The index of a segment is cut by the
+leading bits of its values into parts, and a query is one row for each part
+that holds a value at the radius, however many do.  A task looks the values up
+and verifies the codes behind them with numpy, a bounded number at a time.  More
+codes make more leading bits, and a part that is larger than two mean ones is
+cut into chunks, its queries into shares.  So the rows of a query depend on
+the radius and the leading bits, not on how many values the index has filled.
+
 Which values of a segment occur in the index is a bitmap of 65 536 bits,
-shipped to the tasks.  Flipped values that do not occur never become rows, so
-a query has no more probes than the index has segment values: from the
-masks of weight r where these are fewer, else from the occupied values.
+shipped to the tasks.  Parts are taken from the masks of weight r where these
+are fewer, else from the occupied values.
 
 Equal codes are one index entry that keeps its ``k + 1`` smallest ids, which
 is all that a top-k with ties broken by id can use, so one very common vector
@@ -24,10 +31,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +45,13 @@ WORD_BITS = 64
 PER_WORD = WORD_BITS // SEGMENT_BITS
 TOP_K = 10
 QUERY_STEP = 20
+#: Codes of a segment's part, and the leading bits that may cut it; the least codes of a chunk, and a share's queries.
+PART_CODES = 1 << 18
+PART_BITS = (4, 12)
+CHUNK_CODES = 1 << 10
+QUERY_CODES = 1 << 18
+#: Words compared at a time.
+CELLS = 1 << 20
 
 
 def words_of(vectors: DataFrame, column: str = "embedding") -> int:
@@ -85,8 +99,9 @@ def occupied_values(entries: DataFrame, segments: int) -> list[np.ndarray]:
     return [np.packbits(row) for row in out]
 
 
-def near_values_udf(spark, occupied: list[np.ndarray], radius: int):
-    """The occupied values of a segment at exactly ``radius`` bits from a value."""
+def near_parts_udf(spark, occupied: list[np.ndarray], radius: int, low_bits: int):
+    """The parts of a segment, by their leading bits, that hold an occupied
+    value at exactly ``radius`` bits from a value."""
     shipped = spark.sparkContext.broadcast(occupied)  # 8 KB a segment
     masks = np.flatnonzero(np.bitwise_count(np.arange(1 << SEGMENT_BITS, dtype=np.uint32)) == radius).astype(np.uint32)
 
@@ -98,8 +113,10 @@ def near_values_udf(spark, occupied: list[np.ndarray], radius: int):
         def of(seg: int, own: int) -> np.ndarray:
             if len(masks) <= len(values[seg]):
                 at = masks ^ np.uint32(own)
-                return at[held[seg][at]].astype(np.int32)
-            return values[seg][np.bitwise_count(values[seg] ^ np.uint32(own)) == radius].astype(np.int32)
+                at = at[held[seg][at]]
+            else:
+                at = values[seg][np.bitwise_count(values[seg] ^ np.uint32(own)) == radius]
+            return np.flatnonzero(np.bincount(at >> low_bits)).astype(np.int32)
 
         for segs, owns in batches:
             yield pd.Series([of(s, o) for s, o in zip(segs.tolist(), owns.tolist(), strict=True)])
@@ -107,6 +124,95 @@ def near_values_udf(spark, occupied: list[np.ndarray], radius: int):
     return near
 
 
+def _words(column: pa.ChunkedArray, words: int) -> np.ndarray:
+    """Codes as rows of ``words`` words; segment s is the s-th 16 bits."""
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.astype("<i8", copy=False).view("<u8").reshape(-1, words)
+
+
+FOUND = "q array<long>, code array<long>, n int, low long, dist int"
+
+
+def search_part(radius: int, k: int, words: int, low_bits: int):
+    """A function over one chunk of an index part and the queries sent to it:
+    of the codes whose segment is ``radius`` bits away, for each query the
+    ``k + 1`` first by (distance, smallest id) within its bound."""
+    cells = max(1, CELLS // words)
+
+    def nearest(qi: np.ndarray, ci: np.ndarray, dist: np.ndarray, low: np.ndarray):
+        order = np.lexsort((low[ci], dist, qi))
+        qi, ci, dist = qi[order], ci[order], dist[order]
+        first = np.arange(len(qi)) - np.searchsorted(qi, qi) <= k
+        return qi[first], ci[first], dist[first]
+
+    def verified(seg, queries, bound, codes, low, qi, starts, counts):
+        """Codes at ``starts`` of ``counts``, each for one query."""
+        ends = np.cumsum(counts)
+        qi = np.repeat(qi, counts)
+        ci = np.arange(len(qi)) + np.repeat(starts - ends + counts, counts)
+        apart = queries[qi] ^ codes[ci]
+        dist = np.bitwise_count(apart).sum(axis=1, dtype=np.int32)
+        on = np.flatnonzero(dist <= bound[qi])
+        by_segment = np.bitwise_count(apart[on].view("<u2"))
+        # a code is taken at its first segment with the least difference only: no repeats, no shuffle to find them
+        on = on[(by_segment[:, :seg] > radius).all(axis=1) & (by_segment[:, seg:] >= radius).all(axis=1)]
+        return nearest(qi[on], ci[on], dist[on], low)
+
+    def search(key, queries: pa.Table, index: pa.Table) -> pa.Table:
+        seg, part = key[0].as_py(), key[1].as_py()
+        weight = np.bitwise_count(np.arange(1 << low_bits, dtype=np.uint32))
+        value = index["val"].to_numpy() & ((1 << low_bits) - 1)
+        order = np.argsort(value, kind="stable")
+        codes, low, n = _words(index["code"], words)[order], index["low"].to_numpy()[order], index["n"].to_numpy()[order]
+        first = np.searchsorted(value[order], np.arange((1 << low_bits) + 1))  # where the codes of each value begin
+        held = np.flatnonzero(np.diff(first))
+        asked, bound, own = _words(queries["q"], words), queries["bound"].to_numpy(), queries["own"].to_numpy()
+        left = radius - np.bitwise_count((own >> low_bits) ^ part).astype(np.int64)  # bits to flip below the leading ones
+        own = own & ((1 << low_bits) - 1)
+        found = [(np.zeros(0, np.int64),) * 3]
+        for bits in range(low_bits + 1):
+            rows, masks = np.flatnonzero(left == bits), np.flatnonzero(weight == bits)
+            by_mask = len(masks) <= len(held)
+            step = max(1, cells // max(1, min(len(masks), len(held))))
+            for at in range(0, len(rows), step):
+                qi = rows[at:at + step]
+                if by_mask:
+                    to = own[qi][:, None] ^ masks[None, :]
+                    i, j = np.nonzero(first[to + 1] > first[to])
+                    to = to[i, j]
+                else:
+                    i, j = np.nonzero(weight[own[qi][:, None] ^ held[None, :]] == bits)
+                    to = held[j]
+                starts, counts = first[to], first[to + 1] - first[to]
+                cuts = np.flatnonzero(np.diff(np.cumsum(counts) // cells, prepend=0))
+                for here in np.split(np.arange(len(i)), cuts):
+                    if len(here):
+                        found.append(verified(seg, asked, bound, codes, low, qi[i[here]], starts[here], counts[here]))
+        qi, ci, dist = nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), low)
+        offsets = pa.array(np.arange(len(qi) + 1) * words, pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.view("<i8").reshape(-1))) for x in (asked[qi], codes[ci])]
+        return pa.table([*lists, pa.array(n[ci], pa.int32()), pa.array(low[ci], pa.int64()), pa.array(dist, pa.int32())],
+                        names=["q", "code", "n", "low", "dist"])
+
+    return search
+
+
+def index_parts(codes: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
+    """(entries, chunks, low bits): every code once per segment with its part
+    and chunk, and the number of chunks of each part."""
+    held = codes.count()
+    fewest, most = PART_BITS
+    part_bits = min(most, max(fewest, (held // PART_CODES).bit_length()))
+    low_bits = SEGMENT_BITS - part_bits
+    chunk = min(max(CHUNK_CODES, 2 * held >> part_bits), 2 * PART_CODES)
+    cut = codes.select("*", _segments("code", words).alias("seg", "val")).withColumn("part", F.shiftright("val", low_bits))
+    # a row for each part that has codes: at most 4096 a segment
+    chunks = materialize(cut.groupBy("seg", "part").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")), "mih-chunks")
+    entries = (cut.join(F.broadcast(chunks), ["seg", "part"])
+               .withColumn("chunk", F.pmod(F.xxhash64("code"), F.col("chunks")).cast("int")).drop("chunks"))
+    return materialize(entries, "mih-index"), chunks, low_bits
+
+
 def distinct_codes(codes: DataFrame, k: int) -> DataFrame:
     """(code, ids): each distinct code with its k + 1 smallest ids, ascending."""
     nth = Window.partitionBy("code").orderBy("vec_id")
@@ -119,28 +225,27 @@ def search_codes(index: DataFrame, queries: DataFrame, k: int, words: int) -> Da
     (distance, smallest id), which hold its k + 1 nearest ids."""
     segments = words * PER_WORD
     codes = index.select("code", F.size("ids").alias("n"), F.get("ids", F.lit(0)).alias("low"))
-    entries = materialize(codes.select("*", _segments("code", words).alias("seg", "val"))
-                          .repartition("seg", "val").sortWithinPartitions("seg", "val"), "mih-index")
+    entries, chunks, low_bits = index_parts(codes, words)
     farthest = words * WORD_BITS
     active = materialize(queries.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(farthest)), "mih-active")
     occupied = occupied_values(entries, segments)
-    distance = reduce(add, [F.bit_count(F.get("q", F.lit(w)).bitwiseXOR(F.get("code", F.lit(w)))) for w in range(words)])
-    weights = [F.bit_count(_segment("q", s).bitwiseXOR(_segment("code", s))) for s in range(segments)]
     best, finished = None, []
     first = Window.partitionBy("q").orderBy("dist", "low")
     for radius in range(SEGMENT_BITS + 1):
-        near = near_values_udf(active.sparkSession, occupied, radius)
+        near = near_parts_udf(active.sparkSession, occupied, radius, low_bits)
         # segments 0 ... b at this radius cover the distance segments * radius + b: no more than the bound is needed
         needed = F.col("seg") <= F.col("bound") - segments * radius
-        probes = active.select("q", "bound", _segments("q", words).alias("seg", "own")).where(needed).select(
-            "q", "bound", "seg", F.explode(near("seg", "own")).alias("val"))
-        # a code is taken at its first segment with the least difference only: no repeats, no shuffle to find them
-        is_first = F.lit(True)
-        for s, w in enumerate(weights):
-            is_first = is_first & F.when(F.col("seg") > s, w > radius).otherwise(w >= radius)
-        # the planner can't see how many rows an explode makes: never broadcast them
-        found = probes.hint("merge").join(entries, ["seg", "val"]).where(is_first & (distance <= F.col("bound")))
-        new = found.select("q", "code", "n", "low", distance.alias("dist"))
+        probes = materialize(active.select("q", "bound", _segments("q", words).alias("seg", "own")).where(needed).select(
+            "q", "bound", "seg", "own", F.explode(near("seg", "own")).alias("part")), f"mih-probes-{radius}")
+        # both sides of a part are cut, so that a task never holds more than a chunk and a share
+        shares = probes.groupBy("seg", "part").agg(F.ceil(F.count("*") / QUERY_CODES).cast("int").alias("shares"))
+        asked = (probes.join(F.broadcast(shares), ["seg", "part"]).join(F.broadcast(chunks), ["seg", "part"])
+                 .withColumn("share", F.pmod(F.xxhash64("q"), F.col("shares")).cast("int"))
+                 .select("q", "bound", "own", "seg", "part", "share", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")))
+        held = (entries.join(F.broadcast(shares), ["seg", "part"])
+                .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares"))
+        key = ["seg", "part", "chunk", "share"]
+        new = asked.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(search_part(radius, k, words, low_bits), FOUND)
         pool = new if best is None else best.unionByName(new)
         best = materialize(pool.withColumn("nth", F.row_number().over(first))
                            .where(F.col("nth") <= k + 1).drop("nth"), f"mih-best-{radius}")

@@ -133,6 +133,33 @@ def test_occupied_values_are_those_of_the_index(spark):
         assert got == [sorted(values), [], sorted(values)]
 
 
+def test_probes_do_not_grow_with_the_values_of_the_index(spark):
+    """A query is one row for each part that holds a value at the radius, however many do."""
+    r = random.Random(5)
+    owns = [0, 65535, *r.sample(range(1 << 16), 6)]
+    rows = spark.createDataFrame([(0, o) for o in owns], "seg int, own int")
+    for held in (r.sample(range(1 << 16), 3000), range(1 << 16)):
+        bits = np.zeros(1 << 16, bool)
+        bits[list(held)] = True
+        for radius in (0, 1, 4, 8, 16):
+            near = hamming.near_parts_udf(spark, [np.packbits(bits)], radius, 12)
+            got = {x.own: x.near for x in rows.select("own", near("seg", "own").alias("near")).collect()}
+            assert got == {o: sorted({v >> 12 for v in held if (v ^ o).bit_count() == radius}) for o in owns}
+            assert max(map(len, got.values())) <= 16
+
+
+def test_parts_cut_into_chunks_and_shares_lose_nothing(spark, monkeypatch):
+    r = random.Random(6)
+    base = [[r.gauss(0, 1) for _ in range(64)] for _ in range(2)]
+    rows = [(i, [x if r.random() < 0.95 else -x for x in base[i % 2]]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids = {i for i, _ in rows if i % 20 == 0}
+    for name, value in {"PART_CODES": 8, "PART_BITS": (4, 6), "CHUNK_CODES": 2, "QUERY_CODES": 3, "CELLS": 16}.items():
+        monkeypatch.setattr(hamming, name, value)
+    got = hamming.top_k(df, df.where("vec_id % 20 = 0"), 5).collect()
+    assert sorted((x.query_id, x.rank, x.vec_id, x.distance) for x in got) == brute_top(rows, ids, 5)
+
+
 # ---------------------------------------------------------------------- mixing
 @pytest.mark.parametrize("weights", [mixing.TARGET, {"a": 0.9, "b": 0.05}, {f"s{i}": 1 for i in range(60)} | {"big": 60.0}, {"x": 1 / 3, "y": 1 / 7}])
 def test_every_prefix_of_the_schedule_is_within_one_block(weights):
