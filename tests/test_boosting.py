@@ -89,3 +89,19 @@ def test_models_are_scored_together_as_one_by_one(rows):
         one = md.score(m, df.where("split = 'val'"))
         assert got[name]["val_auc"] == pytest.approx(md.roc_auc(one, "y", "p").first()["auc_score"])
         assert got[name]["percent_zeros_on_val"] == pytest.approx(100 * one.where("p < 0.5").count() / one.count())
+
+
+def test_folds_are_fitted_without_a_job_per_level(rows, spark):
+    folds = rows.withColumn("fold", F.when(F.col("a") > 0, 1).otherwise(0)).withColumn("train_from", F.when(F.col("b") > 0, 1).otherwise(0))
+    jobs, scored = [], {}
+    for n in (2, 12):
+        spark.sparkContext.setJobGroup(f"folds-{n}", "")
+        est = GBTRegressor(labelCol="z", maxIter=n, maxDepth=4, **SAMPLED)
+        scored[n] = md.fold_fit_score(folds, list("abcde"), "z", est, parallelism=1)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"folds-{n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]  # one job for all rounds of a fold
+    data = md._assembler("abcde").transform(folds).select("features", "z", "fold", "train_from")
+    theirs = est.fit(data.where("train_from <= 0")).transform(data.where("fold = 0"))
+    want = theirs.agg(F.sum("prediction")).first()[0]
+    assert scored[12].where("fold = 0").agg(F.sum("p")).first()[0] == pytest.approx(want)
